@@ -19,39 +19,29 @@ def strip(c: Column, chars: str = BLANKS) -> Column:
     return F.btrim(c, F.lit(chars))
 
 
-def is_missing(c: Column) -> Column:
-    """Null, empty, or the word ``null`` in any case."""
-    return c.isNull() | (c == "") | (F.lower(c) == "null")
-
-
 def is_empty(c: Column) -> Column:
     return c.isNull() | (c == "")
 
 
-def _without_outer_quotes(c: Column) -> Column:
-    paired = F.lit(False)
-    for quote in QUOTES:
-        paired = paired | (c.startswith(quote) & c.endswith(quote))
-    return F.when(paired, F.substring(c, F.lit(2), F.length(c) - 2)).otherwise(c)
+_OUTER_QUOTES = r"""(?s)\A(["'])(?:(.*)\1)?\z"""
 
 
 def safe_string(c: Column) -> Column:
     """Trim, drop one pair of outer quotes, undouble quotes; missing or empty gives null."""
-    text = _without_outer_quotes(strip(c))
+    text = F.regexp_replace(strip(F.when(F.lower(c) != "null", c)), _OUTER_QUOTES, "$2")
     for quote in QUOTES:
         text = F.replace(text, F.lit(quote * 2), F.lit(quote))
-    return F.when(~is_missing(c), F.nullif(text, F.lit("")))
+    return F.nullif(text, F.lit(""))
 
 
 def safe_int(c: Column, kind: str = "int") -> Column:
     """Whole numbers only: ``"123.45"`` is null, not 123."""
-    return F.when(~is_missing(c), strip(c, QUOTES).try_cast(kind))
+    return strip(c, QUOTES).try_cast(kind)
 
 
 def safe_double(c: Column) -> Column:
     # A trailing d or f after a digit is a Java literal suffix, not a number.
-    text = strip(c, QUOTES)
-    return F.when(~is_missing(c) & ~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
+    return F.when(~c.rlike(r"[0-9.][dDfF][\s\"']*$"), strip(c, QUOTES).try_cast("double"))
 
 
 def metadata_map(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import QUOTES, is_missing, strip
+from .text import QUOTES, strip
 
 _DATE = r"\d{4}-\d{1,2}-\d{1,2}"
 _TIME = r"\d{1,2}:\d{1,2}:\d{1,2}"
@@ -42,7 +42,7 @@ def parse_message_time(c: Column) -> Column:
 
 
 def parse_csv_time(c: Column) -> Column:
-    return F.when(~is_missing(c), _cast_shaped(strip(c, QUOTES), CSV_SHAPE))
+    return _cast_shaped(strip(c, QUOTES), CSV_SHAPE)
 
 
 def parse_iso_time(c: Column) -> Column:

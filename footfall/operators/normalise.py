@@ -81,23 +81,23 @@ def raw_from_csv(fields: DataFrame, as_of, undouble_metadata: bool = False) -> D
         metadata = F.replace(metadata, F.lit('""'), F.lit('"'))
     row["metadata"] = text.metadata_map(metadata)
 
-    # A payload in which nothing is set is no payload: its zeros are nulls too.
     payload = [text.snake_name(name) for name in schemas.PAYLOAD_TYPES if name != "metadata"]
-    is_set = F.size(row["metadata"]) > 0
+    texts = [name for name in payload if isinstance(schemas.RAW[name].dataType, T.StringType)]
+    is_set = F.size("metadata") > 0
     for name in payload:
-        present = row[name].isNotNull()
-        if not isinstance(schemas.RAW[name].dataType, T.StringType):
-            present = present & (row[name] != 0)
-        is_set = is_set | F.coalesce(present, F.lit(False))
+        if name not in texts:
+            is_set = is_set | (F.col(name) != 0)
+    is_set = F.coalesce(is_set, F.lit(False)) | F.coalesce(*texts).isNotNull()
 
     typed = fields.select(
         CORRUPT,
         *(row[name].alias(name) for name in schemas.RAW_COLUMNS),
-        is_set.alias("payload_set"),
         content_id(*value.values()).alias("fallback_id"),
     )
     final = {name: F.col(name) for name in schemas.RAW_COLUMNS}
-    final |= {name: F.when(F.col("payload_set"), F.col(name)) for name in payload}
+    # A payload in which nothing is set is no payload: its zeros are nulls too.
+    typed = typed.withColumn("payload_set", is_set)
+    final |= {n: F.when(F.col("payload_set"), F.col(n)) for n in payload if n not in texts}
     final["id"] = F.coalesce("id", "fallback_id")
     final["type"] = F.lower(F.coalesce("type", F.lit("")))
     final["user_id"] = F.coalesce("user_id", F.lit(0))

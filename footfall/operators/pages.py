@@ -9,8 +9,8 @@ from ..functions.events import event_category, event_day, percent
 TOP = 10  # fixed value: ranks kept in the mart
 
 
-def page_days(events: DataFrame) -> DataFrame:
-    """Viewed pages per day. Views and clicks are counted in one pass instead of two and a join."""
+def page_visitors(events: DataFrame) -> DataFrame:
+    """Views and clicks per day, page, user and session: the distinct counts run on these few rows."""
     category = event_category(F.col("event_type"), F.col("event_title"))
     seen = events.select(
         event_day(F.col("created_at")).alias("date"),
@@ -20,14 +20,26 @@ def page_days(events: DataFrame) -> DataFrame:
         "event_id",
         category.alias("category"),
     ).where(F.col("url").isNotNull() & (F.col("category") != "other"))
-    is_view, is_click = F.col("category") == "view", F.col("category") == "click"
+    visitors = seen.groupBy("date", "url", "user_id", "session_id").agg(
+        *(
+            F.count(F.when(F.col("category") == name, F.col("event_id"))).alias(f"{name}s")
+            for name in ("view", "click")
+        )
+    )
+    # Reads both counts, so that all consumers share this plan and its exchange.
+    return visitors.where(F.col("views") + F.col("clicks") > 0)
+
+
+def page_days(visitors: DataFrame) -> DataFrame:
+    """Viewed pages per day. Views and clicks come out of one pass instead of two and a join."""
+    viewed = F.col("views") > 0
     return (
-        seen.groupBy("date", "url")
+        visitors.groupBy("date", "url")
         .agg(
-            F.count_distinct(F.when(is_view, F.col("user_id"))).alias("unique_users"),
-            F.count_distinct(F.when(is_view, F.col("session_id"))).alias("unique_sessions"),
-            F.count(F.when(is_view, F.col("event_id"))).alias("view_count"),
-            F.count(F.when(is_click, F.col("event_id"))).alias("click_count"),
+            F.count_distinct(F.when(viewed, F.col("user_id"))).alias("unique_users"),
+            F.count_distinct(F.when(viewed, F.col("session_id"))).alias("unique_sessions"),
+            F.sum("views").alias("view_count"),
+            F.sum("clicks").alias("click_count"),
         )
         .where(F.col("view_count") > 0)
         .withColumn("conversion_rate", percent(F.col("click_count"), F.col("view_count")))

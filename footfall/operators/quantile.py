@@ -14,7 +14,12 @@ def exact_median(df: DataFrame, group: str, value: str, width: int) -> DataFrame
     ``percentile`` would keep every distinct value of a group in the memory of one task.
     """
     counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("bucket", F.floor(F.col(value) / F.lit(width)).cast("bigint"))
+    start = F.col(value) - F.col(value) % F.lit(width)
+    # The join below needs buckets that are not null. Said here, it holds for both uses of the
+    # counts, and Spark computes them once.
+    counts = counts.withColumn("bucket", start).where(
+        F.col(group).isNotNull() & F.col("bucket").isNotNull()
+    )
 
     in_order = W.partitionBy(group).orderBy("bucket")
     buckets = counts.groupBy(group, "bucket").agg(F.sum("n").alias("bucket_n"))
@@ -26,8 +31,7 @@ def exact_median(df: DataFrame, group: str, value: str, width: int) -> DataFrame
         F.sum("bucket_n").over(W.partitionBy(group)).alias("total"),
     )
     # Zero-based ranks of the two middle rows.
-    low = F.floor((F.col("total") - 1) / F.lit(2))
-    high = F.floor(F.col("total") / F.lit(2))
+    low, high = F.shiftright(F.col("total") - 1, 1), F.shiftright("total", 1)
     middle = running.where(
         (F.col("before") <= high) & (F.col("before") + F.col("bucket_n") > low)
     ).select(group, "bucket", "before", low.alias("low"), high.alias("high"))

@@ -30,25 +30,23 @@ def session_rollup(parts: DataFrame) -> DataFrame:
         parts.where(F.col("session_id").isNotNull())
         .groupBy("session_id")
         .agg(
-            F.min_by("user_id", F.struct("first_at", "user_id")).alias("user_id"),
-            F.min("first_at").alias("start_time"),
+            F.min(F.struct("first_at", "user_id")).alias("earliest"),
             F.max("last_at").alias("end_time"),
             F.sum("events").alias("event_count"),
         )
+        .withColumn("start_time", F.col("earliest.first_at"))
+        .withColumn("duration_us", micros_between(F.col("start_time"), F.col("end_time")))
     )
-    duration = micros_between(F.col("start_time"), F.col("end_time"))
-    return (
-        merged.withColumn("duration_us", duration)
-        .where(F.col("duration_us") >= 0)
-        .select(
-            "session_id",
-            "user_id",
-            event_day(F.col("start_time")).alias("date"),
-            "start_time",
-            "end_time",
-            F.least("duration_us", F.lit(LONGEST)).alias("duration_us"),
-            "event_count",
-        )
+    # The guards read every aggregate. No consumer can drop one of them, so the plans of several
+    # consumers agree up to here and Spark reuses the exchanges instead of reading events again.
+    return merged.where((F.col("duration_us") >= 0) & (F.col("event_count") > 0)).select(
+        "session_id",
+        F.col("earliest.user_id").alias("user_id"),
+        event_day(F.col("start_time")).alias("date"),
+        "start_time",
+        "end_time",
+        F.least("duration_us", F.lit(LONGEST)).alias("duration_us"),
+        "event_count",
     )
 
 

@@ -113,9 +113,10 @@ def status_counts(validated: DataFrame) -> DataFrame:
 
 def message_counts(validated: DataFrame) -> DataFrame:
     """How often every rule fired, without the value a message quotes."""
-    rule = F.regexp_extract(F.explode("errors"), "^[^:]*", 0)
+    rule = F.substring_index("error", ":", 1)
     return (
-        validated.select("status", rule.alias("rule"))
+        validated.select("status", F.explode("errors").alias("error"))
+        .select("status", rule.alias("rule"))
         .groupBy("rule", "status")
         .agg(F.count(F.lit(1)).alias("events"))
     )

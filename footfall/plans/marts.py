@@ -35,7 +35,7 @@ def compute_marts(events: DataFrame, visited: DataFrame, first_day: date) -> dic
         "element_conversion": conversion.element_conversion(recent),
         "session_metrics_daily": sessions.session_metrics_daily(emitted(session_rows)),
         "device_distribution_daily": devices.device_distribution_daily(emitted(visited)),
-        "top_pages_daily": pages.top_pages_daily(pages.page_days(recent)),
+        "top_pages_daily": pages.top_pages_daily(pages.page_days(pages.page_visitors(recent))),
     }
 
 

@@ -109,8 +109,8 @@ def _activity(source: str, prefix: str = "") -> str:
 )"""
 
 
-_RATIOS = """round(CAST(wau AS DOUBLE) / CAST(dau AS DOUBLE), 6) AS wau_to_dau_ratio,
-  round(CAST(mau AS DOUBLE) / CAST(dau AS DOUBLE), 6) AS mau_to_dau_ratio"""
+_RATIOS = """CAST(wau AS DOUBLE) / CAST(dau AS DOUBLE) AS wau_to_dau_ratio,
+  CAST(mau AS DOUBLE) / CAST(dau AS DOUBLE) AS mau_to_dau_ratio"""
 
 _SESSIONS = """
 sessions AS (
@@ -167,7 +167,7 @@ ranked AS (
   SELECT v.date, v.url, CAST(unique_users AS BIGINT) AS unique_users,
     CAST(unique_sessions AS BIGINT) AS unique_sessions, CAST(view_count AS BIGINT) AS view_count,
     CAST(coalesce(click_count, 0) AS BIGINT) AS click_count,
-    round(CAST(coalesce(click_count, 0) AS DOUBLE) / CAST(view_count AS DOUBLE) * 100.0, 6)
+    CAST(coalesce(click_count, 0) AS DOUBLE) / CAST(view_count AS DOUBLE) * 100.0
       AS conversion_rate,
     CAST(dense_rank() OVER (PARTITION BY v.date ORDER BY view_count DESC) AS INT) AS rank
   FROM page_views v LEFT JOIN page_clicks c ON v.date = c.date AND v.url = c.url
@@ -285,9 +285,9 @@ ORACLES["user_activity_with_warmup"] = (
 )
 
 ORACLES["element_conversion"] = _with(_BASE, _ELEMENTS) + """
-SELECT element_id, date, views, clicks, round(avg_x, 6) AS avg_x, round(avg_y, 6) AS avg_y,
-  round(CASE WHEN views > 0 THEN CAST(clicks AS DOUBLE) / CAST(views AS DOUBLE) * 100.0
-             ELSE 0.0 END, 6) AS conversion_rate,
+SELECT element_id, date, views, clicks, avg_x, avg_y,
+  CASE WHEN views > 0 THEN CAST(clicks AS DOUBLE) / CAST(views AS DOUBLE) * 100.0
+             ELSE 0.0 END AS conversion_rate,
   CAST(views + clicks AS BIGINT) AS total_interactions
 FROM elements"""
 
@@ -300,8 +300,8 @@ p AS (
     CAST(count(DISTINCT session_id) AS BIGINT) AS unique_sessions
   FROM cat GROUP BY url
 )
-SELECT *, round(CASE WHEN views > 0 THEN CAST(clicks AS DOUBLE) / CAST(views AS DOUBLE) * 100.0
-                     ELSE 0.0 END, 6) AS conversion_rate FROM p"""
+SELECT *, CASE WHEN views > 0 THEN CAST(clicks AS DOUBLE) / CAST(views AS DOUBLE) * 100.0
+                     ELSE 0.0 END AS conversion_rate FROM p"""
 
 ORACLES["event_category_counts"] = _with(_BASE) + """
 SELECT category, CAST(count(*) AS BIGINT) AS events FROM cat GROUP BY category"""
@@ -309,11 +309,11 @@ SELECT category, CAST(count(*) AS BIGINT) AS events FROM cat GROUP BY category""
 ORACLES["session_rollup"] = _with(_BASE, _SESSIONS) + " SELECT * FROM sessions"
 
 ORACLES["session_metrics_daily"] = _with(_BASE, _SESSIONS) + """
-SELECT date, round(avg_duration_seconds, 4) AS avg_duration_seconds,
-  round(median_duration_seconds, 4) AS median_duration_seconds,
-  round(std_duration_seconds, 4) AS std_duration_seconds, total_events, session_count,
-  unique_users, round(avg_duration_seconds / 60.0, 4) AS avg_duration_minutes,
-  round(median_duration_seconds / 60.0, 4) AS median_duration_minutes
+SELECT date, avg_duration_seconds,
+  median_duration_seconds,
+  round(std_duration_seconds, 5) AS std_duration_seconds, total_events, session_count,
+  unique_users, avg_duration_seconds / 60.0 AS avg_duration_minutes,
+  median_duration_seconds / 60.0 AS median_duration_minutes
 FROM session_days"""
 
 ORACLES["visit_rollup"] = _with(_BASE) + """
@@ -325,9 +325,9 @@ FROM cat GROUP BY date, session_id, user_id, device_type"""
 ORACLES["device_distribution_daily"] = _with(_BASE, _DEVICES) + """
 SELECT p.date, device_type, CAST(p.users AS BIGINT) AS unique_users,
   CAST(p.sessions AS BIGINT) AS unique_sessions, CAST(p.events AS BIGINT) AS device_events,
-  round(CAST(p.users AS DOUBLE) / CAST(t.users AS DOUBLE) * 100.0, 6) AS user_percentage,
-  round(CAST(p.sessions AS DOUBLE) / CAST(t.sessions AS DOUBLE) * 100.0, 6) AS session_percentage,
-  round(CAST(p.events AS DOUBLE) / CAST(t.events AS DOUBLE) * 100.0, 6) AS event_percentage
+  CAST(p.users AS DOUBLE) / CAST(t.users AS DOUBLE) * 100.0 AS user_percentage,
+  CAST(p.sessions AS DOUBLE) / CAST(t.sessions AS DOUBLE) * 100.0 AS session_percentage,
+  CAST(p.events AS DOUBLE) / CAST(t.events AS DOUBLE) * 100.0 AS event_percentage
 FROM per_device p LEFT JOIN totals t ON p.date = t.date"""
 
 ORACLES["top_pages_daily"] = _with(_BASE, _PAGES) + " SELECT * FROM ranked WHERE rank <= 10"
@@ -339,12 +339,12 @@ SELECT CAST(count(*) AS BIGINT) AS events, min(created_at) AS first_event,
   CAST(count(DISTINCT session_id) AS BIGINT) AS unique_sessions FROM clean"""
 
 ORACLES["activity_summary"] = _with(_BASE, _activity("clean")) + """
-SELECT min(dau) AS min_dau, max(dau) AS max_dau, round(avg(dau), 6) AS avg_dau FROM activity"""
+SELECT min(dau) AS min_dau, max(dau) AS max_dau, avg(dau) AS avg_dau FROM activity"""
 
 ORACLES["session_summary"] = _with(_BASE, _SESSIONS) + """
 SELECT CAST(sum(session_count) AS BIGINT) AS sessions,
-  round(min(avg_duration_seconds), 4) AS min_avg_duration,
-  round(max(avg_duration_seconds), 4) AS max_avg_duration FROM session_days"""
+  min(avg_duration_seconds) AS min_avg_duration,
+  max(avg_duration_seconds) AS max_avg_duration FROM session_days"""
 
 # --- validation -----------------------------------------------------------------------------
 
@@ -517,7 +517,7 @@ def _trend(column: str, table: str) -> str:
 for _name in ("mean", "median"):
     _metric = "avg" if _name == "mean" else _name
     ORACLES[f"dash_{_name}_session_minutes"] = _with(_BASE, _SESSIONS) + _trend(
-        f"round({_metric}_duration_seconds / 60.0, 4) AS {_metric}_duration_minutes",
+        f"{_metric}_duration_seconds / 60.0 AS {_metric}_duration_minutes",
         "session_days",
     )
 ORACLES["dash_session_counts"] = _with(_BASE, _SESSIONS) + _trend("session_count", "session_days")
@@ -537,7 +537,7 @@ SELECT device_type, CAST(sum({_column}) AS BIGINT) AS total_{_name} FROM per_dev
 WHERE date = DATE '2024-01-30' GROUP BY device_type"""
 
 _VIEWED = "FROM elements WHERE date >= DATE '2024-01-30' - 7 AND views > 0"
-_RATIO = "round(CAST(sum(clicks) AS DOUBLE) / CAST(sum(views) AS DOUBLE), 6) AS conversion_rate"
+_RATIO = "CAST(sum(clicks) AS DOUBLE) / CAST(sum(views) AS DOUBLE) AS conversion_rate"
 ORACLES["dash_overall_click_ratio"] = _with(_BASE, _ELEMENTS) + f" SELECT {_RATIO} {_VIEWED}"
 ORACLES["dash_element_click_ratio"] = _with(_BASE, _ELEMENTS) + f"""
 SELECT element_id, {_RATIO} {_VIEWED} GROUP BY element_id

@@ -27,12 +27,10 @@ PROCESSED_TABLE = T.StructType(
 
 
 def mart_table(name: str) -> T.StructType:
-    stamp = T.StructField("calculation_timestamp", schemas.TS)
+    fields = [*schemas.MARTS[name].fields, T.StructField("calculation_timestamp", schemas.TS)]
     if name == "element_conversion":
-        return schemas.MARTS[name].add(stamp).add("run_date", T.DateType())
-    return T.StructType(
-        [f for f in schemas.MARTS[name].fields if f.name != "date"] + [stamp, _DAY]
-    )
+        return T.StructType([*fields, T.StructField("run_date", T.DateType())])
+    return T.StructType([*(f for f in fields if f.name != "date"), _DAY])
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -4,27 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import QUOTES, strip
+from .text import QUOTES
 
 _DATE = r"\d{4}-\d{1,2}-\d{1,2}"
 _TIME = r"\d{1,2}:\d{1,2}:\d{1,2}"
-_FRACTION = r"(\.\d{1,6})"
+_FRACTION = r"(?:\.\d{1,6})?"
+_BEYOND_MICROS = r"(?:(?<=\.\d{6})\d{1,3})?"
+_ANY_QUOTES = f"[{QUOTES}]*"
 
-# Fixed shapes: ``T`` or blank between date and time, fraction optional, ``Z`` only with ``T``.
-MESSAGE_SHAPE = rf"^{_DATE}(T{_TIME}{_FRACTION}?Z?| {_TIME}{_FRACTION}?)$"
-# Fixed shapes: as above without ``Z`` and without a fraction after a blank.
-CSV_SHAPE = rf"^{_DATE}(T{_TIME}{_FRACTION}?| {_TIME})$"
-# Fixed shape: ISO local date-time with two-digit parts, seconds optional.
-ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"
-_NUMBER = r"^[+-]?\d+(\.\d*)?([eE][+-]?\d+)?$"
+# Fixed shapes; group 1 is the text to cast.
+# Message: ``T`` or blank between date and time, fraction optional, ``Z`` only with ``T``.
+MESSAGE_SHAPE = (
+    rf"^\s*{_ANY_QUOTES}(?!{_DATE} .*Z)({_DATE}[T ]{_TIME}{_FRACTION})"
+    rf"{_BEYOND_MICROS}Z?{_ANY_QUOTES}\s*$"
+)
+# CSV: no ``Z``, and no fraction after a blank.
+CSV_SHAPE = rf"^{_ANY_QUOTES}({_DATE}(?:T{_TIME}{_FRACTION}| {_TIME})){_ANY_QUOTES}$"
+# ISO local date-time: two-digit parts, seconds optional.
+ISO_SHAPE = rf"^(\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}(?::\d{{2}}{_FRACTION})?){_BEYOND_MICROS}$"
+NUMBER_SHAPE = rf"^\s*{_ANY_QUOTES}([+-]?\d+(?:\.\d*)?(?:[eE][+-]?\d+)?){_ANY_QUOTES}\s*$"
 
 
-def _cut_to_micros(text: Column) -> Column:
-    return F.regexp_replace(text, r"(\.\d{6})\d{1,3}(?=Z?$)", "$1")
-
-
-def _cast_shaped(text: Column, shape: str) -> Column:
-    return F.when(text.rlike(shape), F.rtrim(text, F.lit("Z")).try_cast("timestamp_ntz"))
+def _cast_shaped(c: Column, shape: str) -> Column:
+    """One pass over the text: no match extracts nothing, which casts to null."""
+    return F.regexp_extract(c, shape, 1).try_cast("timestamp_ntz")
 
 
 def epoch_seconds(c: Column) -> Column:
@@ -35,18 +38,16 @@ def epoch_seconds(c: Column) -> Column:
 
 def parse_message_time(c: Column) -> Column:
     """Text of a topic message: a shaped date-time, or a number of epoch seconds."""
-    text = _cut_to_micros(strip(strip(c), QUOTES))
-    return F.coalesce(
-        _cast_shaped(text, MESSAGE_SHAPE), F.when(text.rlike(_NUMBER), epoch_seconds(text))
-    )
+    number = F.regexp_extract(c, NUMBER_SHAPE, 1)
+    return F.coalesce(_cast_shaped(c, MESSAGE_SHAPE), epoch_seconds(number))
 
 
 def parse_csv_time(c: Column) -> Column:
-    return _cast_shaped(strip(c, QUOTES), CSV_SHAPE)
+    return _cast_shaped(c, CSV_SHAPE)
 
 
 def parse_iso_time(c: Column) -> Column:
-    return F.when(c.rlike(ISO_SHAPE), _cut_to_micros(c).try_cast("timestamp_ntz"))
+    return _cast_shaped(c, ISO_SHAPE)
 
 
 def to_millis(c: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from .. import schemas
 from ..functions import text, timestamps
 from ..functions.events import content_id
+from .barrier import computed_once
 
 CORRUPT = "_corrupt"
 REJECT = "reject_reason"
@@ -30,9 +31,14 @@ def _first_reason(*checks: tuple[Column, str]) -> Column:
     return F.coalesce(*(F.when(condition, F.lit(reason)) for condition, reason in checks))
 
 
-def _raw_row(columns: dict[str, Column], reason: Column, *extra: str) -> list[Column]:
-    typed = [columns[f.name].cast(f.dataType).alias(f.name) for f in schemas.RAW.fields]
-    return [*typed, reason.alias(REJECT), *map(F.col, extra)]
+def _raw_rows(
+    decoded: DataFrame, columns: dict[str, Column], reason: Column, *extra: str
+) -> DataFrame:
+    typed = {f.name: columns[f.name].cast(f.dataType) for f in schemas.RAW.fields}
+    rows = computed_once(decoded, **{f"raw_{n}": c for n, c in typed.items()}, **{REJECT: reason})
+    return rows.select(
+        *(F.col(f"raw_{name}").alias(name) for name in schemas.RAW_COLUMNS), REJECT, *extra
+    )
 
 
 # --- CSV ------------------------------------------------------------------------------------
@@ -108,43 +114,47 @@ def raw_from_csv(fields: DataFrame, as_of, undouble_metadata: bool = False) -> D
         (final["user_id"] <= 0, "user id is not positive"),
         (~final["type"].isin("view", "click"), "type is not view or click"),
     )
-    return typed.select(*_raw_row(final, reason, CORRUPT))
+    return _raw_rows(typed, final, reason, CORRUPT)
 
 
 # --- JSON -----------------------------------------------------------------------------------
 
 
-def _json_type(name: str) -> T.DataType:
-    if name == "payload":
-        return _both_spellings(schemas.PAYLOAD_TYPES)
-    return T.IntegerType() if name == "userId" else T.StringType()
-
-
 def _both_spellings(kinds: dict[str, T.DataType]) -> T.StructType:
-    """Every key as sent (camelCase) and as stored (snake_case)."""
-    names = {n: kind for name, kind in kinds.items() for n, kind in
-             ((name, kind), (text.snake_name(name), kind))}
-    return T.StructType([T.StructField(name, kind) for name, kind in names.items()])
+    """Every key as sent (camelCase) and as stored (snake_case), and the corrupt-record mark."""
+    names = {
+        spelling: kind for name, kind in kinds.items() for spelling in (name, text.snake_name(name))
+    }
+    fields = [T.StructField(name, kind) for name, kind in names.items()]
+    return T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
 
 
-MESSAGE_SCHEMA = _both_spellings({name: _json_type(name) for name in schemas.MESSAGE_KEYS}).add(
-    CORRUPT, T.StringType()
+# The payload is kept as text at first, so that its own keys can be looked at.
+MESSAGE_SCHEMA = _both_spellings(
+    {name: schemas.I if name == "userId" else schemas.S for name in schemas.MESSAGE_KEYS}
 )
+PAYLOAD_SCHEMA = _both_spellings(schemas.PAYLOAD_TYPES)
+JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
-def _snake_keys(keys: Column) -> Column:
-    return F.transform(keys, lambda k: F.lower(F.regexp_replace(k, "([A-Z])", "_$1")))
+def _names(schema: T.StructType) -> Column:
+    return F.array(*(F.lit(name) for name in schema.names if name != CORRUPT))
 
 
-def _known(names) -> Column:
-    return F.array(*(F.lit(text.snake_name(n)) for n in names))
+def _lacks(keys: Column, name: str) -> Column:
+    found = F.array_contains(keys, name)
+    snake = text.snake_name(name)
+    return ~(found if snake == name else found | F.array_contains(keys, snake))
 
 
 def _decode(values: DataFrame, column: str, keep: tuple[str, ...]) -> DataFrame:
-    body = F.col(column).cast("string")
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return values.select(
-        body.alias("body"), F.from_json(body, MESSAGE_SCHEMA, options).alias("m"), *keep
+    """Columns body, m (message) and p (payload). Separate steps, so nothing is parsed twice."""
+    message = F.from_json("body", MESSAGE_SCHEMA, JSON_OPTIONS)
+    payload = F.from_json("m.payload", PAYLOAD_SCHEMA, JSON_OPTIONS)
+    return (
+        values.select(F.col(column).cast("string").alias("body"), *keep)
+        .select("body", message.alias("m"), *keep)
+        .select("body", "m", payload.alias("p"), *keep)
     )
 
 
@@ -154,12 +164,16 @@ def _message_fields() -> dict[str, Column]:
         return F.coalesce(*(F.col(f"{prefix}.{n}") for n in spellings))
 
     fields = {text.snake_name(n): either("m", n) for n in schemas.MESSAGE_KEYS if n != "payload"}
-    fields |= {text.snake_name(n): either("m.payload", n) for n in schemas.PAYLOAD_TYPES}
+    fields |= {text.snake_name(n): either("p", n) for n in schemas.PAYLOAD_TYPES}
     empty = F.create_map().cast("map<string,string>")
     fields["metadata"] = F.coalesce(text.text_values(fields["metadata"]), empty)
     return fields
 
 
+def _wrong_type() -> Column:
+    return F.col(f"m.{CORRUPT}").isNotNull() | F.col(f"p.{CORRUPT}").isNotNull()
+
+
 def raw_from_messages(
     messages: DataFrame, as_of, column: str = "value", keep: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -171,20 +185,24 @@ def raw_from_messages(
             F.coalesce(timestamps.parse_message_time(fields[name]), now)
         )
     fields["id"] = F.coalesce(F.nullif(fields["id"], F.lit("")), content_id(F.col("body")))
-    keys = _snake_keys(F.json_object_keys("body"))
-    payload_keys = F.coalesce(
-        _snake_keys(F.json_object_keys(F.get_json_object("body", "$.payload"))), F.array()
+    decoded = _decode(messages, column, keep).select(
+        "*",
+        F.json_object_keys("body").alias("keys"),
+        F.json_object_keys("m.payload").alias("payload_keys"),
     )
+    keys = F.col("keys")
+    lacks_any = F.lit(False)
+    for name in schemas.REQUIRED_KEYS:
+        lacks_any = lacks_any | _lacks(keys, name)
     reason = _first_reason(
-        (F.col("body").isNull() | keys.isNull(), "not a JSON object"),
-        (F.size(F.array_except(_known(schemas.REQUIRED_KEYS), keys)) > 0, "missing key"),
-        (F.size(F.array_except(keys, _known(schemas.MESSAGE_KEYS))) > 0, "unknown key"),
-        (F.size(F.array_except(payload_keys, _known(schemas.PAYLOAD_TYPES))) > 0,
-         "unknown payload key"),
-        (F.col(f"m.{CORRUPT}").isNotNull(), "value of the wrong type"),
+        (keys.isNull(), "not a JSON object"),
+        (lacks_any, "missing key"),
+        (F.size(F.array_except(keys, _names(MESSAGE_SCHEMA))) > 0, "unknown key"),
+        (F.size(F.array_except("payload_keys", _names(PAYLOAD_SCHEMA))) > 0, "unknown payload key"),
+        (_wrong_type(), "value of the wrong type"),
         (fields["user_id"].isNull(), "user id is null"),
     )
-    return _decode(messages, column, keep).select(*_raw_row(fields, reason, "body", *keep))
+    return _raw_rows(decoded, fields, reason, "body", *keep)
 
 
 def raw_from_bodies(bodies: DataFrame, as_of, column: str = "value") -> DataFrame:
@@ -197,12 +215,12 @@ def raw_from_bodies(bodies: DataFrame, as_of, column: str = "value") -> DataFram
         fields[name] = timestamps.to_millis(F.coalesce(parsed[name], now))
     fields["id"] = content_id(F.col("body"))
     reason = _first_reason(
-        (F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull(), "not a valid body"),
+        (F.col("m").isNull() | _wrong_type(), "not a valid body"),
         *((sent[name].isNotNull() & parsed[name].isNull(), f"{name} is not an ISO time")
           for name in sent),
         (fields["user_id"].isNull(), "user id is null"),
     )
-    return _decode(bodies, column, ()).select(*_raw_row(fields, reason, "body"))
+    return _raw_rows(_decode(bodies, column, ()), fields, reason, "body")
 
 
 # --- all feeds ------------------------------------------------------------------------------

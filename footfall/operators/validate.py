@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import schemas
 from ..functions.text import is_empty
 from ..functions.timestamps import as_time, time_text
+from .barrier import computed_once
 
 # Accepted domains and the words that make a message critical.
 EVENT_TYPES = ("VIEW", "CLICK")
@@ -62,11 +63,12 @@ def with_validation(events: DataFrame, as_of) -> DataFrame:
         return hit
 
     status = (
-        F.when(F.size("errors") == 0, "VALID")
-        .when(F.exists("errors", is_critical), "INVALID")
+        F.when(F.size("found") == 0, "VALID")
+        .when(F.exists("found", is_critical), "INVALID")
         .otherwise("SUSPICIOUS")
     )
-    return events.withColumn("errors", errors).withColumn("status", status)
+    listed = events.withColumn("found", errors)
+    return computed_once(listed, errors=F.col("found"), status=status).drop("found")
 
 
 def error_text() -> Column:

@@ -13,9 +13,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # HotSpot does not compile methods above 8000 bytes. The wide text decoders exceed that as one
-    # fused stage; below this limit Spark generates code per operator for them instead.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -34,11 +34,8 @@ def _first_reason(*checks: tuple[Column, str]) -> Column:
 def _raw_rows(
     decoded: DataFrame, columns: dict[str, Column], reason: Column, *extra: str
 ) -> DataFrame:
-    typed = {f.name: columns[f.name].cast(f.dataType) for f in schemas.RAW.fields}
-    rows = computed_once(decoded, **{f"raw_{n}": c for n, c in typed.items()}, **{REJECT: reason})
-    return rows.select(
-        *(F.col(f"raw_{name}").alias(name) for name in schemas.RAW_COLUMNS), REJECT, *extra
-    )
+    typed = [columns[f.name].cast(f.dataType).alias(f.name) for f in schemas.RAW.fields]
+    return decoded.select(*typed, reason.alias(REJECT), *extra)
 
 
 # --- CSV ------------------------------------------------------------------------------------
@@ -53,8 +50,8 @@ def csv_fields(lines: DataFrame, column: str = "line", dialect: str = "rfc4180")
     if dialect == "rfc4180":
         ddl = ", ".join(f"`{name}` string" for name in CSV_SCHEMA.names)
         parsed = F.from_csv(line, F.lit(ddl), CSV_OPTIONS)
-        return lines.select(parsed.alias("fields")).select("fields.*")
-    fields = lines.select(line.alias(CORRUPT), text.split_quoted_line(line).alias("fields"))
+        return computed_once(lines.select(column), fields=parsed).select("fields.*")
+    fields = computed_once(lines.select(line.alias(CORRUPT)), fields=text.split_quoted_line(F.col(CORRUPT)))
     complete = F.size("fields") == len(schemas.CSV_COLUMNS)
     return fields.select(
         *(F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(schemas.CSV_COLUMNS)),
@@ -147,15 +144,16 @@ def _lacks(keys: Column, name: str) -> Column:
     return ~(found if snake == name else found | F.array_contains(keys, snake))
 
 
-def _decode(values: DataFrame, column: str, keep: tuple[str, ...]) -> DataFrame:
-    """Columns body, m (message) and p (payload). Separate steps, so nothing is parsed twice."""
-    message = F.from_json("body", MESSAGE_SCHEMA, JSON_OPTIONS)
-    payload = F.from_json("m.payload", PAYLOAD_SCHEMA, JSON_OPTIONS)
-    return (
-        values.select(F.col(column).cast("string").alias("body"), *keep)
-        .select("body", message.alias("m"), *keep)
-        .select("body", "m", payload.alias("p"), *keep)
-    )
+def _decode(values: DataFrame, column: str, keep: tuple[str, ...], with_keys: bool) -> DataFrame:
+    """Adds m (message), p (payload) and on request the keys of both, each parsed once per row."""
+    bodies = values.select(F.col(column).cast("string").alias("body"), *keep)
+    parsed = bodies.withColumn("message", F.from_json("body", MESSAGE_SCHEMA, JSON_OPTIONS))
+    payload = F.from_json("message.payload", PAYLOAD_SCHEMA, JSON_OPTIONS)
+    columns = {"m": F.col("message"), "p": payload}
+    if with_keys:
+        columns["keys"] = F.json_object_keys("body")
+        columns["payload_keys"] = F.json_object_keys("message.payload")
+    return computed_once(parsed, **columns)
 
 
 def _message_fields() -> dict[str, Column]:
@@ -185,11 +183,7 @@ def raw_from_messages(
             F.coalesce(timestamps.parse_message_time(fields[name]), now)
         )
     fields["id"] = F.coalesce(F.nullif(fields["id"], F.lit("")), content_id(F.col("body")))
-    decoded = _decode(messages, column, keep).select(
-        "*",
-        F.json_object_keys("body").alias("keys"),
-        F.json_object_keys("m.payload").alias("payload_keys"),
-    )
+    decoded = _decode(messages, column, keep, with_keys=True)
     keys = F.col("keys")
     lacks_any = F.lit(False)
     for name in schemas.REQUIRED_KEYS:
@@ -220,7 +214,7 @@ def raw_from_bodies(bodies: DataFrame, as_of, column: str = "value") -> DataFram
           for name in sent),
         (fields["user_id"].isNull(), "user id is null"),
     )
-    return _raw_rows(_decode(bodies, column, ()), fields, reason, "body")
+    return _raw_rows(_decode(bodies, column, (), with_keys=False), fields, reason, "body")
 
 
 # --- all feeds ------------------------------------------------------------------------------

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,11 +32,15 @@ def build_session(app: str = "footfall", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (a local test run) is a folder of our own made.
+    Only a local session, where every task sees the same disk, gets a folder of its own when none
+    is named; on a cluster a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a folder shared by all executors (master {master})")
     own = tempfile.mkdtemp(prefix="footfall-")
     spark.conf.set("spark.checkpoint.dir", own)
     return own
@@ -53,3 +60,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@cache
+def _packed() -> str:
+    """This package as a zip file, made once per driver process."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="footfall-code-"), "footfall_code")
+    return shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers of all executors import this package (a second call changes nothing)."""
+    spark.sparkContext.addPyFile(_packed())

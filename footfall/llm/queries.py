@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from footfall.llm.common import table
 from footfall.llm.decontaminate import contamination
 from footfall.llm.line_dedup import drop_frequent_lines
+from footfall.llm.quality_divergence import METRICS, judge_quality
 from footfall.llm.url_redirects import Rule, judge_pages
 
 URL_RULES = [
@@ -26,6 +27,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return judged.select("doc_id", *METRICS, "base_failed", "kept")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     judged = contamination(docs, items, window=13, share=20)
@@ -42,6 +48,7 @@ def op10_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_quality_divergence": op2_quality_divergence,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op10_url_redirects": op10_url_redirects,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from footfall.llm.common import table
 from footfall.llm.decontaminate import contamination
 from footfall.llm.line_dedup import drop_frequent_lines
+from footfall.llm.ngram_join import near_duplicates
 from footfall.llm.quality_divergence import METRICS, judge_quality
 from footfall.llm.url_redirects import Rule, judge_pages
 
@@ -41,6 +43,11 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = near_duplicates(table(spark, sf_dir, "documents"), share=Fraction(90, 100), size=3)
+    return placed.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op10_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_pages(table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -50,5 +57,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_divergence": op2_quality_divergence,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op10_url_redirects": op10_url_redirects,
 }

@@ -13,7 +13,13 @@ from footfall.llm.decontaminate import contamination
 from footfall.llm.line_dedup import drop_frequent_lines
 from footfall.llm.ngram_join import near_duplicates
 from footfall.llm.quality_divergence import METRICS, judge_quality
+from footfall.llm.token_store import read_token_files, write_token_files
 from footfall.llm.url_redirects import Rule, judge_pages
+from footfall.session import shared_path
+
+#: The folder of public vocabulary files, as a package; its place is found at run time.
+BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 URL_RULES = [
     Rule("block", "net", "/"),
@@ -43,6 +49,18 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "tokens")
+    write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file(BYTE_BPE), end_id=2)
+    return read_token_files(spark, path, with_ids=False).withColumnRenamed("doc", "doc_id")
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = near_duplicates(table(spark, sf_dir, "documents"), share=Fraction(90, 100), size=3)
     return placed.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id")
@@ -57,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_divergence": op2_quality_divergence,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_token_store": op5_token_store,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op10_url_redirects": op10_url_redirects,
 }

@@ -59,3 +59,10 @@ def fresh(wanted: str, taken: list[str]) -> str:
     while name.lower() in used:
         name = f"_{name}"
     return name
+
+
+def narrow_key(df: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """Like ``row_key``, with the id itself as first half where it is an integer: long lists compress better."""
+    integer = df.schema[id_col].dataType.typeName() in ("long", "integer", "short", "byte")
+    hi, lo = row_key(id_col, text_col)
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("key_hi"), lo] if integer else [hi, lo]

@@ -13,6 +13,7 @@ from footfall.llm.decontaminate import contamination
 from footfall.llm.line_dedup import drop_frequent_lines
 from footfall.llm.ngram_join import near_duplicates
 from footfall.llm.quality_divergence import METRICS, judge_quality
+from footfall.llm.substring_dedup import remove_repeats
 from footfall.llm.token_store import read_token_files, write_token_files
 from footfall.llm.url_redirects import Rule, judge_pages
 from footfall.session import shared_path
@@ -40,6 +41,11 @@ def op2_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *METRICS, "base_failed", "kept")
 
 
+def op3_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"), length=400, with_text=False)
+    return found.withColumnRenamed("doc", "doc_id")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     judged = contamination(docs, items, window=13, share=20)
@@ -74,6 +80,7 @@ def op10_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_divergence": op2_quality_divergence,
+    "op3_prefix_free_parsing": op3_prefix_free_parsing,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_token_store": op5_token_store,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,

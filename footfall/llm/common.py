@@ -62,7 +62,10 @@ def fresh(wanted: str, taken: list[str]) -> str:
 
 
 def narrow_key(df: DataFrame, id_col: str, text_col: str) -> list[Column]:
-    """Like ``row_key``, with the id itself as first half where it is an integer: long lists compress better."""
+    """Like ``row_key``, with an integer id itself as first half (null: the largest number).
+
+    Long lists of it compress better, and it keeps the order of the ids.
+    """
     integer = df.schema[id_col].dataType.typeName() in ("long", "integer", "short", "byte")
     hi, lo = row_key(id_col, text_col)
-    return [F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("key_hi"), lo] if integer else [hi, lo]
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("key_hi"), lo] if integer else [hi, lo]

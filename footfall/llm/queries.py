@@ -13,6 +13,7 @@ from footfall.llm.decontaminate import contamination
 from footfall.llm.line_dedup import drop_frequent_lines
 from footfall.llm.ngram_join import near_duplicates
 from footfall.llm.quality_divergence import METRICS, judge_quality
+from footfall.llm.relative_lz import remove_earlier
 from footfall.llm.substring_dedup import remove_repeats
 from footfall.llm.token_store import read_token_files, write_token_files
 from footfall.llm.url_redirects import Rule, judge_pages
@@ -67,6 +68,11 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, with_ids=False).withColumnRenamed("doc", "doc_id")
 
 
+def op6_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_earlier(table(spark, sf_dir, "documents"), window=13, with_text=False)
+    return found.withColumnRenamed("doc", "doc_id")
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = near_duplicates(table(spark, sf_dir, "documents"), share=Fraction(90, 100), size=3)
     return placed.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id")
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_prefix_free_parsing": op3_prefix_free_parsing,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_token_store": op5_token_store,
+    "op6_relative_lz": op6_relative_lz,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op10_url_redirects": op10_url_redirects,
 }

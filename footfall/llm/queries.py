@@ -12,10 +12,12 @@ from footfall.llm.common import table
 from footfall.llm.decontaminate import contamination
 from footfall.llm.line_dedup import drop_frequent_lines
 from footfall.llm.ngram_join import near_duplicates
+from footfall.llm.piece_nbest import segment
 from footfall.llm.quality_divergence import METRICS, judge_quality
 from footfall.llm.relative_lz import remove_earlier
 from footfall.llm.substring_dedup import remove_repeats
 from footfall.llm.token_store import read_token_files, write_token_files
+from footfall.llm.toxicity_grammar import fold, score_toxicity, train
 from footfall.llm.url_redirects import Rule, judge_pages
 from footfall.session import shared_path
 
@@ -78,6 +80,18 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op8_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"), max_rows=20_000)
+    held_out = F.coalesce(fold(F.col("doc_id")) == 1, F.lit(False)).alias("held_out")
+    return score_toxicity(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+def op9_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return segment(docs, tokenizer_file(PIECES), n_best=4, with_paths=False)
+
+
 def op10_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_pages(table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -91,5 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_store": op5_token_store,
     "op6_relative_lz": op6_relative_lz,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_toxicity_grammar": op8_toxicity_grammar,
+    "op9_piece_nbest": op9_piece_nbest,
     "op10_url_redirects": op10_url_redirects,
 }

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from footfall.llm.common import map_batches
 
 MARK = "▁"
-#: Scores below this are placeholders of the model, not costs.
+#: Scores below this are placeholders of the model; they count as its lowest other score.
 PLACEHOLDER = -1e8
 CACHED_WORDS, KEPT_WORDS = 400_000, 250_000
 _models: dict[str, PieceModel] = {}
@@ -49,12 +49,13 @@ class PieceModel:
         }
         self.bytes = {int(model.id_to_piece(i)[3:5], 16): i for i in ids if model.is_byte(i)}
         self.unknown_id = model.unk_id()
+        lowest = min((s for s, _ in self.pieces.values() if s > PLACEHOLDER), default=0.0)
+        self.unknown_score = lowest - 10
+        self.pieces = {p: (max(s, lowest), i) for p, (s, i) in self.pieces.items()}
         self.longest = max(map(len, self.pieces), default=1)
         #: Score and id of each piece; None for what is only the beginning of pieces.
         self.entries: dict[str, tuple[float, bytes] | None] = {p[:k]: None for p in self.pieces for k in range(1, len(p))}
         self.entries |= {p: (s, i.to_bytes(4, "little")) for p, (s, i) in self.pieces.items()}
-        scores = [s for s, _ in self.pieces.values() if s > PLACEHOLDER]
-        self.unknown_score = min(scores, default=0.0) - 10
         self.texts = [
             bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i)
             else b"" if model.is_control(i) else "⁇".encode() if model.is_unknown(i)
@@ -262,6 +263,6 @@ def segment(
     schema = schema.add("n_pieces", "long").add("score", "double").add("n_found", "long").add("margin", "double")
     schema = schema.add("ids_crc32", "long").add("round_trip", "boolean")
     if with_paths:
-        schema = schema.add("paths", "array<struct<score:double,ids:array<int>>>")
+        schema = T.StructType(schema.fields + T.StructType.fromDDL("paths array<struct<score:double,ids:array<int>>>").fields)
     out = map_batches(plain, lambda b: _segment(model_path, n_best, with_paths, b), schema)
     return out.select(*(F.col(c).alias(m) for m, c in carried.items()), *schema.fieldNames()[len(carried) :])

@@ -215,5 +215,5 @@ def remove_earlier(
     schema = T.StructType([joined.schema["doc"]]).add("n_words", "long").add("n_removed", "long")
     schema = schema.add("n_factors", "long").add("kept_sha256", "string")
     if with_text:
-        schema = schema.add("factors", "array<struct<start:long,end:long>>").add("kept", "string")
+        schema = T.StructType(schema.fields + T.StructType.fromDDL("factors array<struct<start:long,end:long>>, kept string").fields)
     return map_batches(joined, lambda b: _cut(window, with_text, b), schema)

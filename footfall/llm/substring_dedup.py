@@ -215,5 +215,5 @@ def remove_repeats(
     schema = T.StructType([joined.schema["doc"]]).add("n_bytes", "long").add("n_removed", "long")
     schema = schema.add("n_spans", "long").add("kept_sha256", "string")
     if with_text:
-        schema = schema.add("spans", "array<struct<start:long,end:long>>").add("kept", "binary")
+        schema = T.StructType(schema.fields + T.StructType.fromDDL("spans array<struct<start:long,end:long>>, kept binary").fields)
     return map_batches(joined, lambda b: _cut(length, with_text, b), schema)

@@ -54,7 +54,7 @@ NEGATED, REPORTED, TARGETED, THREAT_WEIGHT = 0.4, 0.5, 1.25, 4.0
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE_END = re.compile(r"[.,;:!?|\n\"()]+")
 #: Lengths of the word beginnings that can enter the lexicon.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 MAX_ENTRIES, MIN_TOXIC_ROWS, MIN_LOG_ODDS = 5000, 6, 3.0
 CACHED_WORDS, KEPT_WORDS = 500_000, 300_000
 

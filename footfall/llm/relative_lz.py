@@ -22,7 +22,7 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -184,16 +184,18 @@ def remove_earlier(
     texts = docs.select(*narrow_key(docs, id_col, text_col), F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     keyed = texts.select(*ROW_KEY, "text")
     rows = map_batches(keyed, lambda b: _block_rows(window, b), "k long, t long, key_hi long, key_lo long, at long")
-    dealt = rows.repartition("k")
-    index = dealt.groupBy("k", "t").agg(F.min("key_hi").alias("first"), F.max("key_hi").alias("last"))
-    shared = index.groupBy("k").agg(
-        F.min("first").alias("lowest"), F.max("last").alias("highest"), F.count(F.lit(1)).alias("n_names")
-    ).where("lowest < highest")
-    met = dealt.join(index.join(shared, "k"), ["k", "t"])
+    # one shuffle by k serves all of these: the smallest id of a block, of a minimizer, and whether it has several blocks
+    minimizer, block = Window.partitionBy("k"), Window.partitionBy("k", "t")
+    met = (
+        rows.withColumn("lowest", F.min("key_hi").over(minimizer)).withColumn("highest", F.max("key_hi").over(minimizer))
+        .withColumn("several", F.min("t").over(minimizer) != F.max("t").over(minimizer))
+        .where("lowest < highest")
+        .withColumn("first", F.min("key_hi").over(block))
+    )
     found = staged(
         met.select(
             *ROW_KEY, "at", (F.col("first") < F.col("key_hi")).alias("repeat"),
-            ((F.col("first") == F.col("key_hi")) & (F.col("n_names") > 1)).alias("asked"),
+            (F.col("several") & (F.col("first") == F.col("key_hi"))).alias("asked"),
         ).where("repeat or asked"),
         "blocks",
     )
@@ -202,11 +204,8 @@ def remove_earlier(
         _by_text(keyed, asked, found.where("asked").count(), "inner"), lambda b: _window_names(window, b),
         "w1 long, w2 long, key_hi long, key_lo long, p long",
     )
-    windows = names.repartition("w1", "w2")
-    earliest = windows.groupBy("w1", "w2").agg(F.min("key_hi").alias("first"), F.max("key_hi").alias("last")).where("first < last")
-    single = staged(
-        windows.join(earliest, ["w1", "w2"]).where("key_hi > first").select(*ROW_KEY, "p"), "windows"
-    )
+    earliest = F.min("key_hi").over(Window.partitionBy("w1", "w2"))
+    single = staged(names.withColumn("first", earliest).where("key_hi > first").select(*ROW_KEY, "p"), "windows")
     n_found = found.where("repeat").count() + single.count()
     lists = found.where("repeat").groupBy(*ROW_KEY).agg(F.collect_set("at").alias("whole")).join(
         single.groupBy(*ROW_KEY).agg(F.collect_set("p").alias("single")), ROW_KEY, "full_outer"

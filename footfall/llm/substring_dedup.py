@@ -15,7 +15,8 @@ corpus, which no single task could hold:
 2. A ``k`` that occurs once is unique text. Rows whose ``t`` occurs twice or more are duplicates with
    all their windows. Only where equal parses stand in unequal surroundings, at the edges of
    repeats, are single windows (suffixes of dictionary phrases) named and counted.
-3. Windows without an anchor near enough are rows of their own, so periodic text needs no rule.
+3. Windows without an anchor near enough (in periodic text, mostly) have names of their own. A piece
+   of text sends each of its names once, and runs of windows that it repeats itself as one row.
 
 Copies of a text of n bytes give about n / 50 rows each, however many there are; nothing is paired.
 """
@@ -28,7 +29,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,10 +55,11 @@ def _prefixes(piece: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return one.prefix(one.codes[piece]), two.prefix(two.codes[piece])
 
 
-def anchors(piece: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``k, t, low, count``: names of the anchors of a piece, first window start of each, and how many.
+def anchors(piece: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``k, t, at``: names of the anchors of a piece, and the window starts that each stands for.
 
-    Every start p with p + length <= len(piece) belongs to exactly one anchor.
+    ``at`` holds the first start, how many (SPAN_BITS) and whether the name is known to occur twice
+    (one bit). Every start p with p + length <= len(piece) is covered.
     """
     one, two = _hashes(length)
     a, b = _prefixes(piece, length)
@@ -75,12 +77,38 @@ def anchors(piece: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.
     np.add.at(covered, low, 1)
     np.add.at(covered, high + 1, -1)
     alone = np.flatnonzero(np.cumsum(covered[:-1]) == 0)
-    return (
-        np.concatenate((k, mixed(one.spans(a, alone, alone + length)))),
-        np.concatenate((t, two.spans(b, alone, alone + length))),
-        np.concatenate((low, alone)),
-        np.concatenate((high - low + 1, np.ones(len(alone), np.int64))),
-    )
+    found = [(k, t, pack(low, high - low + 1, 0))]
+    if len(alone):
+        found += _without_anchor(alone, mixed(one.spans(a, alone, alone + length)), two.spans(b, alone, alone + length))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def pack(low: np.ndarray, count: np.ndarray | int, twice: np.ndarray | int) -> np.ndarray:
+    return ((low.astype(np.int64) << SPAN_BITS) + count << 1) + twice
+
+
+def unpack(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return at >> SPAN_BITS + 1, at >> 1 & (1 << SPAN_BITS) - 1
+
+
+def _without_anchor(places: np.ndarray, k: np.ndarray, t: np.ndarray) -> list[tuple]:
+    """One row per name, and the runs of places whose name occurs again in this piece."""
+    order = np.lexsort((t, k))
+    new = np.concatenate(([True], (k[order][1:] != k[order][:-1]) | (t[order][1:] != t[order][:-1])))
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.concatenate((starts, [len(order)])))
+    first = order[starts]
+    rows = [(k[first], t[first], pack(places[first], 1, (sizes > 1).astype(np.int64)))]
+    again = np.sort(places[order[np.repeat(sizes > 1, sizes)]])
+    if len(again):
+        start, end = runs(again, again + 1)
+        most = (1 << SPAN_BITS) - 1
+        parts = -(-(end - start) // most)
+        low = np.repeat(start, parts) + most * (ranges(np.zeros(len(parts), np.int64), parts))
+        at = pack(low, np.minimum(most, np.repeat(end, parts) - low), 1)
+        unlike = mixed(mixed(t[:1]) + at.view(np.uint64))  # a name of their own: they only carry places
+        rows.append((unlike, ~unlike, at))
+    return rows
 
 
 def _pieces(data: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -96,8 +124,8 @@ def _anchor_rows(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
         for i, text in enumerate(batch.column("text")):
             data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
             for start, piece in _pieces(data, length):
-                k, t, low, count = anchors(piece, length)
-                parts.append((i, k, t, ((low + start) << SPAN_BITS) | count))
+                k, t, at = anchors(piece, length)
+                parts.append((i, k, t, at + (start << SPAN_BITS + 1)))
                 held += len(k)
             if held > 100_000:
                 yield _rows(keys, parts)
@@ -122,9 +150,9 @@ def _window_names(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
         names = (*ROW_KEY, "text", "asked")
         for hi, lo, text, asked in zip(*(batch.column(c) for c in names), strict=True):
             data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-            at = np.array(asked.as_py(), np.int64)  # place, span and weight in one number
-            weight, at = (at & 1) + 1, at >> 1
-            low, count = at >> SPAN_BITS, at & ((1 << SPAN_BITS) - 1)
+            at = np.array(asked.as_py(), np.int64)  # here the last bit says whether it occurs twice anywhere
+            weight = (at & 1) + 1
+            low, count = unpack(at)
             order = np.argsort(low, kind="stable")
             low, count, weight = low[order], count[order], weight[order]
             for start, piece in _pieces(data, length):
@@ -149,8 +177,7 @@ def _cut(length: int, with_text: bool, batches: Iterator[pa.RecordBatch]) -> Ite
         rows = []
         for text, whole, single in zip(*(batch.column(c).to_pylist() for c in ("text", "whole", "single")), strict=True):
             data = (text or "").encode()
-            at = np.array(whole or [], np.int64)
-            low, count = at >> SPAN_BITS, at & ((1 << SPAN_BITS) - 1)
+            low, count = unpack(np.array(whole or [], np.int64))
             p = np.array(single or [], np.int64)
             start, end = runs(np.concatenate((low, p)), np.concatenate((low + count - 1 + length, p + length)))
             bounds = np.concatenate(([0], np.stack((start, end), 1).reshape(-1), [len(data)])).tolist()
@@ -187,26 +214,33 @@ def remove_repeats(
     texts = docs.select(*narrow_key(docs, id_col, text_col), F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     keyed = texts.select(*ROW_KEY, "text")
     rows = map_batches(keyed, lambda b: _anchor_rows(length, b), "k long, t long, key_hi long, key_lo long, at long")
-    dealt = rows.repartition("k")
-    same = dealt.groupBy("k", "t").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64(*ROW_KEY, "at")).alias("first"))
-    parses = same.groupBy("k").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_names")).where("n_rows > 1")
-    met = dealt.join(same.join(parses, "k"), ["k", "t"])
+    # one shuffle by k serves all of these: counts of a name, of a parse, and whether a parse has several names
+    parse, name = Window.partitionBy("k"), Window.partitionBy("k", "t")
+    times = 1 + F.col("at").bitwiseAND(1)
+    place = F.xxhash64(*ROW_KEY, "at")
+    met = (
+        rows.withColumn("n_rows", F.sum(times).over(parse)).where("n_rows > 1")
+        .withColumn("several", F.min("t").over(parse) != F.max("t").over(parse))
+        .withColumn("n", F.sum(times).over(name))
+        .withColumn("speaks", place == F.min(place).over(name))
+    )
     repeat = F.col("n") > 1
-    spoken = repeat & (F.col("n_names") > 1) & (F.xxhash64(*ROW_KEY, "at") == F.col("first"))
     found = staged(
-        met.select(*ROW_KEY, "at", repeat.alias("repeat"), (~repeat | spoken).alias("asked")), "repeats"
+        met.select(*ROW_KEY, "at", repeat.alias("repeat"), (F.col("several") & (~repeat | F.col("speaks"))).alias("asked")),
+        "repeats",
     )
     asked = found.where("asked").groupBy(*ROW_KEY).agg(
-        F.collect_set(F.shiftleft("at", 1) + F.col("repeat").cast("long")).alias("asked")
+        F.collect_set(F.col("at") - F.col("at").bitwiseAND(1) + F.col("repeat").cast("long")).alias("asked")
     )
     n_asked = found.where("asked").count()
     names = map_batches(
         _by_text(keyed, asked, n_asked, "inner"), lambda b: _window_names(length, b),
         "w1 long, w2 long, key_hi long, key_lo long, p long, weight long",
     )
-    windows = names.repartition("w1", "w2")
-    twice = windows.groupBy("w1", "w2").agg(F.sum("weight").alias("n")).where("n > 1").select("w1", "w2")
-    single = staged(windows.where("weight = 1").join(twice, ["w1", "w2"], "left_semi").select(*ROW_KEY, "p"), "windows")
+    total = F.sum("weight").over(Window.partitionBy("w1", "w2"))
+    single = staged(
+        names.withColumn("n", total).where("n > 1 and weight = 1").select(*ROW_KEY, "p"), "windows"
+    )
     n_found = found.where("repeat").count() + single.count()
     lists = found.where("repeat").groupBy(*ROW_KEY).agg(F.collect_set("at").alias("whole")).join(
         single.groupBy(*ROW_KEY).agg(F.collect_set("p").alias("single")), ROW_KEY, "full_outer"

@@ -112,7 +112,7 @@ def unpack(image: bytes) -> np.ndarray:
 # ---- encoding
 
 #: Texts with longer runs of white space (or such a run at the end) are encoded in one piece.
-UNEVEN = re.compile(r"\s\s(?:\s|\Z)|\0")
+UNEVEN = re.compile(r"\s\s(?:\s|\Z)")
 #: Chunks with white space only as a first space: line ends can stand between them.
 PLAIN_CHUNK = re.compile(r" ?\S+")
 #: A full cache keeps the chunks it learned first, which are the commonest.
@@ -125,12 +125,14 @@ class PieceEncoder:
 
     A byte-level encoder splits texts before a space that is followed by another character than
     white space, and around single line ends, so chunks cut there are encoded as they are within the
-    text. The library encodes each distinct chunk; whatever the cut could change goes to it whole.
+    text. The library encodes each distinct chunk; whatever the cut could change goes to it whole, and
+    so do texts with the string of a special token.
     """
 
     def __init__(self, path: str) -> None:
         self.library = tokenizers.Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
 
         line_end = self._encode("\n")
         self.line_end = int(line_end[0]) if len(line_end) == 1 else None
@@ -155,7 +157,7 @@ class PieceEncoder:
         """Ids as little-endian unsigned 32-bit integers."""
         chunks = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         plain = "" not in chunks and " " not in chunks and len(text.split()) == len(chunks) - chunks.count("\n")
-        if not plain and UNEVEN.search(text):
+        if "\0" in text or not plain and UNEVEN.search(text) or any(t in text for t in self.special):
             return self._encode(text).tobytes()
         known = self.known
         try:

@@ -51,7 +51,7 @@ def rows(odd_rows):
     passage, other = prose(50, 60), prose(51, 90)
     more = [(200 + i, f"{prose(300 + i, 20)} {passage} {prose(400 + i, 15)}") for i in range(6)]
     more += [(220 + i, f"{other[i:]} {prose(500 + i, 30)}") for i in range(5)]       # cut at different places
-    more += [(240, prose(60, 40) + passage + passage), (241, "ab" * 700), (242, "a" * 500), (243, "a" * 399), (244, "a" * 401)]
+    more += [(240, prose(60, 40) + passage + passage), (241, "ab" * 700), (242, "a" * 500), (245, "xyz " * 3000), (246, "b" + "xyz " * 120), (243, "a" * 399), (244, "a" * 401)]
     return [(r[0], r[1]) for r in odd_rows] + more
 
 
@@ -60,7 +60,7 @@ def ordered(found):
 
 
 def test_bytes_against_brute_force(spark, rows):
-    small = [(d, t if t is None else t[:6000]) for d, t in rows]
+    small = [(d, t if t is None else t[:4000]) for d, t in rows]
     got = substring_dedup.remove_repeats(spark.createDataFrame(small, "doc_id long, text string"), with_text=True).collect()
     assert ordered((r["doc"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == ordered(slow_bytes(small, 400))
     for r in got:
@@ -83,9 +83,12 @@ def test_pieces_of_long_texts(monkeypatch, spark, rows):
     data = np.frombuffer(text, np.uint8)
     starts = []
     for start, piece in substring_dedup._pieces(data, 400):
-        _, _, low, count = substring_dedup.anchors(piece, 400)
+        low, count = substring_dedup.unpack(substring_dedup.anchors(piece, 400)[2])
         starts += [start + low[i] + k for i in range(len(low)) for k in range(count[i])]
     assert sorted(starts) == list(range(len(text) - 399))
+    periodic = np.frombuffer(b"abcd" * 250, np.uint8)
+    low, count = substring_dedup.unpack(substring_dedup.anchors(periodic, 400)[2])
+    assert len(low) < 20 and {low[i] + k for i in range(len(low)) for k in range(count[i])} == set(range(601))
     monkeypatch.setattr(relative_lz, "PIECE", 300)
     words = text.split()
     seen = []

@@ -45,14 +45,34 @@ def safe_double(c: Column) -> Column:
 
 
 def metadata_map(c: Column) -> Column:
-    """JSON object text -> map of text. Anything else gives an empty map; JSON null gives ``null``."""
+    """JSON object text -> map of text. Anything else gives an empty map; JSON null gives ``null``.
+
+    One pair of quotes around the whole text is dropped; of a repeated key the last value counts.
+    """
     empty = F.create_map().cast("map<string,string>")
-    parsed = F.from_json(strip(c), "map<string,string>")
-    return F.coalesce(text_values(parsed), empty)
+    bare = F.regexp_replace(strip(c), _AROUND_ALL, "$2")
+    return F.coalesce(text_values(F.from_json(bare, "map<string,string>")), empty)
+
+
+_AROUND_ALL = r"""(?s)\A(["'])(.*)\1\z"""
+
+
+def last_of_each(entries: Column) -> Column:
+    """Map entries without those whose key comes again later."""
+    def again(entry: Column, i: Column) -> Column:
+        rest = F.slice(entries, i + 2, F.size(entries))
+        return F.exists(rest, lambda later: later["key"] == entry["key"])
+
+    return F.filter(entries, lambda entry, i: ~again(entry, i))
 
 
 def text_values(m: Column) -> Column:
-    return F.transform_values(m, lambda _, v: F.coalesce(v, F.lit("null")))
+    """A parsed map with ``null`` for missing values and one entry per key."""
+    entries = F.transform(
+        F.map_entries(m),
+        lambda e: F.struct(e["key"].alias("key"), F.coalesce(e["value"], F.lit("null")).alias("value")),
+    )
+    return F.map_from_entries(last_of_each(entries))
 
 
 # One stretch of a field: quoted (by either quote) or bare. A backslash takes the next character

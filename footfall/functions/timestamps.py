@@ -25,15 +25,21 @@ ISO_SHAPE = rf"^(\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}(?::\d{{2}}{_FRACTION})?
 NUMBER_SHAPE = rf"^\s*{_ANY_QUOTES}([+-]?\d+(?:\.\d*)?(?:[eE][+-]?\d+)?){_ANY_QUOTES}\s*$"
 
 
+# The years 1 to 9999 in epoch seconds.
+FIRST_SECOND, END_SECOND = -62_135_596_800, 253_402_300_800
+
+
 def _cast_shaped(c: Column, shape: str) -> Column:
     """One pass over the text: no match extracts nothing, which casts to null."""
     return F.regexp_extract(c, shape, 1).try_cast("timestamp_ntz")
 
 
 def epoch_seconds(c: Column) -> Column:
-    """Seconds since 1970 (whole or fractional) -> timestamp."""
+    """Seconds since 1970 (whole or fractional) -> timestamp; null outside the years 1 to 9999."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(secs=c.try_cast("decimal(18,6)"))
+    seconds = c.try_cast("decimal(18,6)")
+    known = (seconds >= FIRST_SECOND) & (seconds < END_SECOND)
+    return epoch + F.make_dt_interval(secs=F.when(known, seconds))
 
 
 def parse_message_time(c: Column) -> Column:
@@ -51,17 +57,15 @@ def parse_iso_time(c: Column) -> Column:
 
 
 def to_millis(c: Column) -> Column:
-    """Cut to the millisecond, the precision the tables keep."""
-    return F.date_trunc("millisecond", c).cast("timestamp_ntz")
+    """Cut to the millisecond, the precision the tables keep. No zone takes part in it."""
+    beyond = F.pmod(F.extract(F.lit("SECOND"), c), F.lit(0.001).cast("decimal(8,6)"))
+    return c - F.make_dt_interval(secs=beyond.cast("decimal(18,6)"))
 
 
 def time_text(c: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss``, followed by six fraction digits only where there is a fraction."""
-    fraction = F.date_format(c, "SSSSSS")
-    return F.concat(
-        F.date_format(c, "yyyy-MM-dd HH:mm:ss"),
-        F.when(fraction == "000000", "").otherwise(F.concat(F.lit("."), fraction)),
-    )
+    text = c.cast("timestamp_ntz").cast("string")  # trailing zeros are cut off, and no zone takes part
+    return F.when(F.contains(text, F.lit(".")), F.rpad(text, 26, "0")).otherwise(text)
 
 
 def micros_between(start: Column, end: Column) -> Column:

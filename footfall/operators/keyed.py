@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import schemas
 from ..functions.events import DUPLICATE_NAMES, duplicate_coordinates
+from ..functions.text import last_of_each
 from ..functions.timestamps import as_time
 
 
@@ -26,11 +27,11 @@ def keep_one(
     """
     rest = [name for name in df.columns if name not in keys and name not in order]
     ranked = [*order, *rest]
-    # Maps have no order; their sorted entries do.
+    # Maps have no order; their sorted entries do. Stored maps may repeat a key.
     maps = {name for name in ranked if isinstance(df.schema[name].dataType, T.MapType)}
     row = F.struct(
         *(
-            (F.array_sort(F.map_entries(name)) if name in maps else F.col(name)).alias(name)
+            (F.array_sort(last_of_each(F.map_entries(name))) if name in maps else F.col(name)).alias(name)
             for name in ranked
         )
     )

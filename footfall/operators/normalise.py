@@ -41,7 +41,9 @@ def _raw_rows(
 # --- CSV ------------------------------------------------------------------------------------
 
 
-def csv_fields(lines: DataFrame, column: str = "line", dialect: str = "rfc4180") -> DataFrame:
+def csv_fields(
+    lines: DataFrame, column: str = "line", dialect: str = "rfc4180", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """One text line per row -> the 23 named text fields and the corrupt-record mark.
 
     ``rfc4180`` is the plain dialect; ``two_quotes`` also quotes with ``'`` and escapes with ``\\``.
@@ -50,16 +52,21 @@ def csv_fields(lines: DataFrame, column: str = "line", dialect: str = "rfc4180")
     if dialect == "rfc4180":
         ddl = ", ".join(f"`{name}` string" for name in CSV_SCHEMA.names)
         parsed = F.from_csv(line, F.lit(ddl), CSV_OPTIONS)
-        return computed_once(lines.select(column), fields=parsed).select("fields.*")
-    fields = computed_once(lines.select(line.alias(CORRUPT)), fields=text.split_quoted_line(F.col(CORRUPT)))
+        return computed_once(lines.select(column, *keep), fields=parsed).select("fields.*", *keep)
+    fields = computed_once(
+        lines.select(line.alias(CORRUPT), *keep), fields=text.split_quoted_line(F.col(CORRUPT))
+    )
     complete = F.size("fields") == len(schemas.CSV_COLUMNS)
     return fields.select(
         *(F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(schemas.CSV_COLUMNS)),
         F.when(~complete, F.col(CORRUPT)).alias(CORRUPT),
+        *keep,
     )
 
 
-def raw_from_csv(fields: DataFrame, as_of, undouble_metadata: bool = False) -> DataFrame:
+def raw_from_csv(
+    fields: DataFrame, as_of, undouble_metadata: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Text fields -> typed raw columns, with the defaults of the CSV path."""
     now = timestamps.as_time(as_of)
     value = {
@@ -96,6 +103,7 @@ def raw_from_csv(fields: DataFrame, as_of, undouble_metadata: bool = False) -> D
         CORRUPT,
         *(row[name].alias(name) for name in schemas.RAW_COLUMNS),
         content_id(*value.values()).alias("fallback_id"),
+        *keep,
     )
     final = {name: F.col(name) for name in schemas.RAW_COLUMNS}
     # A payload in which nothing is set is no payload: its zeros are nulls too.
@@ -111,7 +119,7 @@ def raw_from_csv(fields: DataFrame, as_of, undouble_metadata: bool = False) -> D
         (final["user_id"] <= 0, "user id is not positive"),
         (~final["type"].isin("view", "click"), "type is not view or click"),
     )
-    return _raw_rows(typed, final, reason, CORRUPT)
+    return _raw_rows(typed, final, reason, CORRUPT, *keep)
 
 
 # --- JSON -----------------------------------------------------------------------------------
@@ -199,7 +207,9 @@ def raw_from_messages(
     return _raw_rows(decoded, fields, reason, "body", *keep)
 
 
-def raw_from_bodies(bodies: DataFrame, as_of, column: str = "value") -> DataFrame:
+def raw_from_bodies(
+    bodies: DataFrame, as_of, column: str = "value", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Request bodies -> raw columns. Unknown keys are ignored, times must be ISO, ids are ours."""
     now = timestamps.as_time(as_of)
     fields = _message_fields()
@@ -214,7 +224,7 @@ def raw_from_bodies(bodies: DataFrame, as_of, column: str = "value") -> DataFram
           for name in sent),
         (fields["user_id"].isNull(), "user id is null"),
     )
-    return _raw_rows(_decode(bodies, column, (), with_keys=False), fields, reason, "body")
+    return _raw_rows(_decode(bodies, column, keep, with_keys=False), fields, reason, "body", *keep)
 
 
 # --- all feeds ------------------------------------------------------------------------------

@@ -9,12 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas
 from ..operators import keyed, summary, validate
-from ..session import staged
+from ..session import staging
 from ..sources import tables
-from .write import append_days, distinct_days, rewrite_days
+from .write import append_days, read_files, replace_files
 
 LOOKBACK = timedelta(days=1)  # fixed value: trailing range one run looks at
-FIRST_SEEN_ORDER = ("loaded_at", "url", "element_id", "device_type", "event_title")
 
 
 @dataclass(frozen=True)
@@ -43,7 +42,7 @@ def unprocessed(raw: DataFrame, processed: DataFrame) -> DataFrame:
 def _tables(spark: SparkSession, paths: CleaningPaths) -> tuple[DataFrame, DataFrame]:
     return (
         tables.read_table(spark, paths.raw, tables.RAW_TABLE),
-        tables.read_table(spark, paths.processed, tables.PROCESSED_TABLE),
+        tables.read_table(spark, paths.processed, tables.PROCESSED_TABLE, may_be_absent=True),
     )
 
 
@@ -52,47 +51,56 @@ def clean(
 ) -> DataFrame:
     """One cleaning run; returns the load report.
 
-    The validated rows are written to the shared folder once, and all sinks read that copy. The
-    keys are listed as processed last: a run that dies earlier is repeated as a whole.
+    The validated rows, one per raw key, are written to the shared folder once, and all sinks read
+    that copy. Rows whose quarantine key has a null part fail there and are counted as failed. The
+    keys are listed as processed last: a run that dies earlier is repeated as a whole, and what it
+    appended twice is one row in ``clean_state`` and ``invalid_state``.
     """
     low = as_of - lookback
     raw, processed = (tables.raw_window(t, low, as_of) for t in _tables(spark, paths))
     current = keyed.last_write_wins(unprocessed(raw, processed), schemas.RAW_KEY)
-    validated = staged(validate.with_validation(current, as_of), "validated")
-
-    good = keyed.first_seen(validate.clean_rows(validated, as_of), FIRST_SEEN_ORDER)
-    append_days(
-        good.withColumn("date", F.to_date("created_at")),
-        paths.clean,
-        "user_id",
-        F.desc("created_at"),
-        "id",
-    )
-    bad = validate.quarantine_rows(validated, as_of)
-    append_days(bad.withColumn("date", F.to_date("processed_at")), paths.invalid, "user_id", "id")
-
-    done = validated.where(validate.complete_key()).select(*schemas.RAW_KEY, "ingested_at")
-    append_days(done.withColumn("date", F.to_date("created_at")), paths.processed, "user_id")
-    return summary.load_report(validated)
+    with staging(spark) as stage:
+        validated = stage(validate.with_validation(current, as_of), "validated")
+        append_days(
+            validate.clean_rows(validated, as_of).withColumn("date", F.to_date("created_at")),
+            paths.clean,
+            "user_id",
+            F.desc("created_at"),
+            "id",
+        )
+        bad = validate.quarantine_rows(validated, as_of).dropna(subset=list(schemas.INVALID_KEY))
+        append_days(bad.withColumn("date", F.to_date("processed_at")), paths.invalid, "user_id", "id")
+
+        done = validated.where(validate.complete_key()).select(*schemas.RAW_KEY, "ingested_at")
+        append_days(done.withColumn("date", F.to_date("created_at")), paths.processed, "user_id")
+        report = summary.load_report(validated)
+        return spark.createDataFrame(report.collect(), report.schema)  # four rows
 
 
 def compact_raw(spark: SparkSession, paths: CleaningPaths, before) -> None:
     """Drop processed rows and superseded versions from the raw files of days before ``before``.
 
-    Only closed days are touched, so it does not meet the ingest of current ones. Their keys need
-    not be listed any longer once the rows are gone.
+    Late events may still be appended to these days while it runs: only the files listed at the
+    start are read, and only they are replaced. The processed keys of the days go too, after the
+    raw rows; a version that arrives later is newer than them and is cleaned anyway.
     """
     raw, processed = _tables(spark, paths)
     closed = F.col("date") < F.lit(str(before)).cast("date")
-    days = distinct_days(processed.where(closed))
-    raw, processed = (t.where(F.col("date").isin(days)) for t in (raw, processed))
-    left = keyed.last_write_wins(unprocessed(raw, processed), schemas.RAW_KEY)
-    rewrite_days(paths.raw, days, left, "user_id", F.desc("created_at"), "id")
-    rewrite_days(paths.processed, days, processed.limit(0))
+    raw_files, done_files = (sorted(t.where(closed).inputFiles()) for t in (raw, processed))
+    if not raw_files or not done_files:
+        return
+    old = read_files(spark, paths.raw, raw_files, tables.RAW_TABLE)
+    done = read_files(spark, paths.processed, done_files, tables.PROCESSED_TABLE)
+    left = keyed.last_write_wins(unprocessed(old, done), schemas.RAW_KEY)
+    replace_files(paths.raw, raw_files, left, "user_id", F.desc("created_at"), "id")
+    replace_files(paths.processed, done_files, done.limit(0))
 
 
 def purge_expired(spark: SparkSession, path: str, schema: T.StructType, as_of) -> None:
-    """Remove expired rows from a table's files; rewrites the days that hold some."""
+    """Remove expired rows from a table: the files that hold some are replaced, no others."""
     table = tables.read_table(spark, path, schema)
-    days = distinct_days(keyed.expired(table, as_of))
-    rewrite_days(path, days, keyed.unexpired(table.where(F.col("date").isin(days)), as_of))
+    names = keyed.expired(table, as_of).select(F.col("_metadata.file_path").alias("f")).distinct()
+    files = sorted(row.f for row in names.collect())  # names of files, not rows
+    if files:
+        old = read_files(spark, path, files, schema)
+        replace_files(path, files, keyed.unexpired(old, as_of))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schemas
 from ..functions.timestamps import as_time
 from ..operators import activity, conversion, devices, keyed, pages, sessions, visits
-from ..session import staged
+from ..session import staging
 from ..sources import tables
 from .write import replace_days
 
@@ -50,25 +50,29 @@ def run_marts(
     """Compute the marts of the last days and replace these days in the mart tables.
 
     The state of the clean table (one row per key) and the visits are each written once to the
-    shared folder; five marts then read columns of those copies. Whole days are replaced, so the
-    range starts at midnight: a half first day must not overwrite the full one of an earlier run.
+    shared folder; five marts then read columns of those copies. All days of the range are replaced,
+    also those that now have no rows; it starts at midnight, since a half first day must not
+    overwrite the full one of an earlier run.
     """
     first_day = as_of.date() - timedelta(days=lookback_days)
     low = datetime.combine(first_day - timedelta(days=warmup_days), time())
     table = tables.read_table(spark, clean_path, tables.CLEAN_TABLE)
     in_range = tables.time_range(table, low, as_of, closed=True)
-    events = staged(tables.analysis_frame(tables.clean_state(in_range, as_of)), "clean-state")
-    visited = staged(visits.visit_rollup(events), "visits")
-
-    for name, mart in compute_marts(events, visited, first_day).items():
-        columns = schemas.MARTS[name].names
-        stamped = mart.select(*columns, as_time(as_of).alias("calculation_timestamp"))
-        if name == "element_conversion":
-            # Dated by the run: the rows cover the whole range, not one day.
-            stamped = stamped.withColumn("run_date", F.lit(str(as_of.date())).cast("date"))
-            replace_days(stamped, f"{marts_path}/{name}", "element_id", day="run_date")
-        else:
-            replace_days(stamped, f"{marts_path}/{name}")
+    days = [first_day + timedelta(days=i) for i in range((as_of.date() - first_day).days + 1)]
+    with staging(spark) as stage:
+        events = stage(tables.analysis_frame(tables.clean_state(in_range, as_of)), "clean-state")
+        visited = stage(visits.visit_rollup(events), "visits")
+
+        for name, mart in compute_marts(events, visited, first_day).items():
+            columns = schemas.MARTS[name].names
+            stamped = mart.select(*columns, as_time(as_of).alias("calculation_timestamp"))
+            if name == "element_conversion":
+                # Dated by the run: the rows cover the whole range, not one day.
+                stamped = stamped.withColumn("run_date", F.lit(str(as_of.date())).cast("date"))
+                replace_days(stamped, f"{marts_path}/{name}", "element_id", day="run_date",
+                             days=[as_of.date()])
+            else:
+                replace_days(stage(stamped, name), f"{marts_path}/{name}", days=days)
 
 
 def read_mart(spark: SparkSession, marts_path: str, name: str) -> DataFrame:

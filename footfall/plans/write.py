@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..session import staged
+from ..session import delete_paths, staging
 
 
 def _by_day(df: DataFrame, day: str, sort: tuple[str | Column, ...]) -> DataFrame:
@@ -16,10 +16,18 @@ def append_days(df: DataFrame, path: str, *sort: str | Column, day: str = "date"
     _by_day(df, day, sort).write.mode("append").partitionBy(day).parquet(path)
 
 
-def replace_days(df: DataFrame, path: str, *sort: str | Column, day: str = "date") -> None:
-    """Overwrite the days that ``df`` has rows of; all other days stay."""
+def replace_days(
+    df: DataFrame, path: str, *sort: str | Column, day: str = "date", days: list | None = None
+) -> None:
+    """Overwrite the days that ``df`` has rows of, and empty those of ``days`` it has none of.
+
+    All other days stay. With ``days``, ``df`` is read twice.
+    """
     writer = _by_day(df, day, sort).write.mode("overwrite").partitionBy(day)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    empty = df.drop(day).limit(0)
+    for gone in sorted(set(days) - set(distinct_days(df, day))) if days else ():
+        empty.write.mode("overwrite").parquet(f"{path}/{day}={gone}")
 
 
 def distinct_days(df: DataFrame, day: str = "date") -> list:
@@ -27,16 +35,22 @@ def distinct_days(df: DataFrame, day: str = "date") -> list:
     return sorted(row[0] for row in df.select(day).distinct().collect())
 
 
-def rewrite_days(path: str, days: list, survivors: DataFrame, *sort: str | Column) -> None:
-    """Replace the listed days of the table at ``path`` by ``survivors``.
+def replace_files(path: str, files: list[str], survivors: DataFrame, *sort: str | Column) -> None:
+    """Put ``survivors`` in the place of the listed files of the table at ``path``.
 
-    Survivors are written to the shared folder first, since they are read from the same files. A
-    dynamic overwrite leaves days without survivors alone, so those are overwritten one by one.
+    The survivors are appended, then exactly the files they were read from are deleted: a file that
+    another job added meanwhile is not touched. Between the two steps, or if the job dies there,
+    readers see rows twice, which tables with a key bear; the next run drops the old files again.
     """
-    if not days:
+    if not files:
         return
-    kept = staged(survivors, "survivors")
-    replace_days(kept, path, *sort)
-    empty = kept.drop("date").limit(0)
-    for day in set(days) - set(distinct_days(kept)):
-        empty.write.mode("overwrite").parquet(f"{path}/date={day}")
+    spark = survivors.sparkSession
+    with staging(spark) as stage:
+        kept = stage(survivors, "survivors")
+        append_days(kept, path, *sort)
+    delete_paths(spark, files)
+
+
+def read_files(spark: SparkSession, path: str, files: list[str], schema: T.StructType) -> DataFrame:
+    """Just these files of the table at ``path``, with its partition columns."""
+    return spark.read.schema(schema).option("basePath", path).parquet(*files)

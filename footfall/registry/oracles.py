@@ -507,6 +507,17 @@ ORACLES["stream_ingest_dedup"] = (
     + ")"
 )
 
+ORACLES["stream_late_rows"] = """
+SELECT CAST(user_id AS INTEGER) AS user_id, ts AS created_at, CAST(event_id AS VARCHAR) AS id FROM events
+UNION ALL SELECT CAST(max(user_id) AS INTEGER), TIMESTAMP '2030-01-01 00:00:00', 'ahead' FROM events"""
+
+ORACLES["upsert_with_metadata"] = """
+SELECT event_id, 'last' AS k, CAST(event_id AS VARCHAR) AS n, CAST(2 AS INTEGER) AS size FROM events"""
+
+ORACLES["csv_drop_stored"] = (
+    f"SELECT * EXCLUDE (created_at, received_at) FROM ({ORACLES['csv_ingest']})"
+)
+
 # --- dashboard ------------------------------------------------------------------------------
 
 

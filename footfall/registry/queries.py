@@ -14,6 +14,7 @@ from ..operators import (
     activity, conversion, dashboard, devices, keyed, normalise, pages, sessions, summary, validate,
     visits,
 )
+from ..plans.ingest import ingest_csv
 from ..session import shared_path
 from ..sources import tables, testdata
 from ..streaming import ingest
@@ -447,6 +448,64 @@ def stream_ingest_dedup(spark, sf):
     return spark.read.schema(rows.schema).parquet(target).select("id", *_SHOWN)
 
 
+@query
+def stream_late_rows(spark, sf):
+    """Four micro-batches, an event from the future in the first, repeats in the last."""
+    rows = _events(spark, sf).select(
+        F.col("user_id").cast("int").alias("user_id"), F.col("ts").alias("created_at"),
+        F.col("event_id").cast("string").alias("id"), F.pmod("event_id", F.lit(4)).alias("batch"),
+    )
+    ahead = rows.agg(F.max("user_id").alias("user_id")).select(
+        "user_id", timestamps.as_time("2030-01-01 00:00:00").alias("created_at"),
+        F.lit("ahead").alias("id"), F.lit(0).alias("batch"),
+    )
+    again = rows.where("batch < 2").withColumn("batch", F.lit(3))
+    folder, target, checkpoint = (shared_path(spark, f"late-{part}") for part in ("in", "out", "checkpoint"))
+    sent = rows.unionByName(ahead).unionByName(again)
+    for batch in range(4):
+        part = sent.where(F.col("batch") == batch).drop("batch")
+        part.coalesce(1).write.mode("append").parquet(folder)
+    schema = sent.drop("batch").schema
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    run = (
+        ingest.drop_repeats(source)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(target)
+    )
+    run.awaitTermination()
+    return spark.read.schema(schema).parquet(target)
+
+
+@query
+def upsert_with_metadata(spark, sf):
+    """Two versions of every event, both with a repeated key in their metadata."""
+    first = F.concat(F.lit('{"k": 0, "k": '), "user_id", F.lit("}"))
+    last = F.concat(F.lit("'{\"k\": 1, \"n\": "), "event_id", F.lit(', "k": "last"}\''))
+    versions = [
+        _events(spark, sf).select("event_id", text.metadata_map(c).alias("m"), F.lit(i).alias("src"))
+        for i, c in enumerate((last, first))
+    ]
+    both = versions[0].withColumn("src", F.lit(2)).unionByName(versions[1])
+    state = keyed.last_write_wins(both, ("event_id",), ("src",))
+    return state.select("event_id", F.col("m")["k"].alias("k"), F.col("m")["n"].alias("n"), F.size("m").alias("size"))
+
+
+@query
+def csv_drop_stored(spark, sf):
+    """A drop folder in the wire format through one sweep; the raw table it leaves."""
+    folder, raw, dead = (shared_path(spark, f"drop-{part}") for part in ("in", "raw", "dead"))
+    lines = testdata.csv_lines(_events(spark, sf)).select(F.col("line").alias("value"))
+    header = spark.range(1).select(F.lit(",".join(schemas.CSV_COLUMNS)).alias("value"))
+    as_is = {"sep": "\x01", "quote": "", "escape": "", "emptyValue": "",
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    header.coalesce(1).unionByName(lines.coalesce(1)).coalesce(1).write.options(**as_is).csv(folder)
+    ingest_csv(spark, folder, raw, dead)
+    rows = tables.read_table(spark, raw, tables.RAW_TABLE)
+    return _shown_csv(rows.withColumn("reject_reason", F.lit(None).cast("string"))).drop("created_at", "received_at")
+
+
 # --- dashboard ------------------------------------------------------------------------------
 
 

@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM compiles no method beyond 8000 bytes; Spark then splits or interprets it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -62,6 +66,29 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``staged`` for the length of a job: its folders go when the job ends, however it ends."""
+    paths: list[str] = []
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        paths.append(shared_path(spark, name))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield stage
+    finally:
+        delete_paths(spark, paths)
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Remove files or folders on whatever file system they are."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 @cache
 def _packed() -> str:
     """This package as a zip file, made once per driver process."""

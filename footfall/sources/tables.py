@@ -33,12 +33,14 @@ def mart_table(name: str) -> T.StructType:
     return T.StructType([*(f for f in fields if f.name != "date"), _DAY])
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at ``path``; empty where nothing was written yet."""
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, may_be_absent: bool = False
+) -> DataFrame:
+    """The table at ``path``. Only one that the job itself creates ``may_be_absent``: it is empty then."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not may_be_absent or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
@@ -71,6 +73,11 @@ def analysis_frame(clean: DataFrame) -> DataFrame:
     return renamed.withColumns({axis: F.nullif(axis, F.lit(0)) for axis in ("x", "y")})
 
 
+def invalid_state(invalid: DataFrame, as_of) -> DataFrame:
+    """Unexpired quarantine rows, one per key: the verdict written last."""
+    return keyed.last_write_wins(keyed.unexpired(invalid, as_of), schemas.INVALID_KEY, ("processed_at",))
+
+
 def clean_state(clean: DataFrame, as_of) -> DataFrame:
     """Unexpired clean rows, one per key."""
     return keyed.last_write_wins(keyed.unexpired(clean, as_of), schemas.CLEAN_KEY, ("loaded_at",))

@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from .. import schemas
 from ..operators import normalise
 from ..plans.ingest import land
-from ..sources.files import CSV_GLOB
+from ..sources import files
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 DRAIN = {"availableNow": True}
 
 
 def start_ingest(
-    rows: DataFrame, raw_path: str, dead_path: str, checkpoint: str, source: str, trigger: dict
+    rows: DataFrame, raw_path: str, dead_path: str, checkpoint: str, source: str, trigger: dict,
+    arrived: str = "arrived_at",
 ) -> StreamingQuery:
-    """Land every micro-batch. The checkpoint holds the offsets and moves on after the writes."""
+    """Land every micro-batch. The checkpoint holds the offsets and moves on after the writes.
+
+    Rows bring their own load time in ``arrived`` (of the message or the file), so a batch that is
+    written again after a failure is the same batch.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        land(batch, raw_path, dead_path, source, datetime.now())
+        land(batch, raw_path, dead_path, source, F.col(arrived))
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()
@@ -30,35 +33,47 @@ def start_ingest(
 
 def decode_topic(messages: DataFrame) -> DataFrame:
     """Topic rows -> raw rows. A missing time becomes the time the topic stamped on the message."""
-    stamp = F.col("timestamp").cast("timestamp_ntz")
+    stamped = messages.withColumn("arrived_at", F.col("timestamp").cast("timestamp_ntz"))
     return normalise.raw_from_messages(
-        messages, stamp, column="value", keep=("timestamp",)
-    ).drop("timestamp")
-
-
-def stream_csv_drop(spark: SparkSession, drop: str, as_of, files_per_batch: int = 1000) -> DataFrame:
-    """CSV files of a drop folder; each is read once, when it turns up."""
-    fields = (
-        spark.readStream.schema(normalise.CSV_SCHEMA)
-        .options(header="true", columnPruning="false", **normalise.CSV_OPTIONS)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", CSV_GLOB)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(drop)
+        stamped, F.col("arrived_at"), column="value", keep=("arrived_at",)
     )
-    return normalise.raw_from_csv(fields, as_of)
+
+
+def _limited(reader: DataStreamReader, files_per_batch: int | None) -> DataStreamReader:
+    return reader if files_per_batch is None else reader.option("maxFilesPerTrigger", files_per_batch)
+
+
+def stream_csv_drop(
+    spark: SparkSession, drop: str, dialect: str = "rfc4180", files_per_batch: int | None = None,
+    any_name: bool = False,
+) -> DataFrame:
+    """CSV files of a drop folder; each is read once, when it turns up, with the time it was written.
+
+    A folder whose files are not named .csv is read with ``any_name``: all files then count but those
+    of kinds that are never CSV.
+    """
+    reader = _limited(spark.readStream.option("recursiveFileLookup", "true"), files_per_batch)
+    return files.csv_rows(reader, drop, dialect, named_csv=not any_name)
+
+
+def stream_bodies(spark: SparkSession, drop: str, files_per_batch: int | None = None) -> DataFrame:
+    """Request bodies, one per line, of a folder; each file is read once, when it turns up."""
+    reader = _limited(spark.readStream.option("recursiveFileLookup", "true"), files_per_batch)
+    return files.body_rows(reader, drop)
 
 
 def drop_repeats(
     rows: DataFrame, keys: tuple[str, ...] = schemas.RAW_KEY, delay: str = "1 day"
 ) -> DataFrame:
-    """Let the first row of a key through and drop repeats that come within ``delay``.
+    """Let the first row of a key through and drop repeats that arrive within ``delay``.
 
-    The state holds keys of the last ``delay`` only. Watermarks need a zoned timestamp.
+    The watermark follows the arrival of rows, not the time their sender wrote on them: a row with a
+    time far in the future ages nothing, and a row from long ago is still let through. The state
+    holds the keys that arrived in the last ``delay``.
     """
     return (
-        rows.withColumn("event_time", F.col("created_at").cast("timestamp"))
-        .withWatermark("event_time", delay)
+        rows.withColumn("arrival", F.current_timestamp())
+        .withWatermark("arrival", delay)
         .dropDuplicatesWithinWatermark(list(keys))
-        .drop("event_time")
+        .drop("arrival")
     )

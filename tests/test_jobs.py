@@ -1,9 +1,12 @@
 """Jobs end to end on small folders: ingest, clean, marts, maintenance, streams."""
 
 import json
+import os
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from footfall import schemas
@@ -11,7 +14,7 @@ from footfall.functions.timestamps import as_time
 from footfall.operators import dashboard, keyed, normalise
 from footfall.plans import cleaning, ingest, marts, write
 from footfall.session import shared_dir
-from footfall.sources import tables, testdata
+from footfall.sources import files, tables, testdata
 from footfall.streaming import ingest as streams
 
 DAY = datetime(2024, 1, 25)
@@ -49,7 +52,7 @@ def land_messages(spark, paths, bodies, at=NOW):
 
 
 def table(spark, path, schema):
-    return tables.read_table(spark, path, schema)
+    return tables.read_table(spark, path, schema, may_be_absent=True)
 
 
 def clean_ids(spark, paths, as_of=NOW):
@@ -59,7 +62,7 @@ def clean_ids(spark, paths, as_of=NOW):
 
 def test_bodies_land_in_raw_and_dead_letter(spark, tmp_path, paths):
     drop(tmp_path / "in", "a.jsonl", [message(i) for i in range(5)] + [{"url": "/x"}])
-    ingest.ingest_bodies(spark, str(tmp_path / "in"), paths.raw, str(tmp_path / "dead"), NOW)
+    ingest.ingest_bodies(spark, str(tmp_path / "in"), paths.raw, str(tmp_path / "dead"))
     raw = table(spark, paths.raw, tables.RAW_TABLE)
     assert raw.count() == 5 and {r.source for r in raw.collect()} == {"http"}
     dead = spark.read.parquet(str(tmp_path / "dead"))
@@ -71,13 +74,57 @@ def test_second_csv_sweep_changes_no_state(spark, tmp_path, paths):
     (tmp_path / "in").mkdir()
     text = "\n".join([",".join(schemas.CSV_COLUMNS)] + [r.line for r in lines.collect()])
     (tmp_path / "in" / "a.csv").write_text(text)
-    counts = []
-    for hour in (1, 2):
-        at = NOW + timedelta(hours=hour)
-        ingest.ingest_csv(spark, str(tmp_path / "in"), paths.raw, str(tmp_path / "dead"), at)
+    counts, cleaned = [], []
+    for _ in range(3):
+        ingest.ingest_csv(spark, str(tmp_path / "in"), paths.raw, str(tmp_path / "dead"))
         raw = table(spark, paths.raw, tables.RAW_TABLE)
         counts.append(keyed.last_write_wins(raw, schemas.RAW_KEY).count())
-    assert counts[0] == counts[1] > 0 and raw.count() == 2 * counts[0]
+        last = raw.agg(F.max("created_at")).first()[0] + timedelta(seconds=1)
+        cleaning.clean(spark, paths, last, lookback=timedelta(days=400_000))
+        invalid = tables.invalid_state(table(spark, paths.invalid, tables.INVALID_TABLE), DAY)
+        cleaned.append((len(clean_ids(spark, paths, DAY)), invalid.count(),
+                        table(spark, paths.clean, tables.CLEAN_TABLE).count()))
+    assert counts[0] == counts[1] == counts[2] > 0 and raw.count() == 3 * counts[0]
+    assert cleaned[0] == cleaned[1] == cleaned[2] and cleaned[0][0] > 0
+
+
+def test_rows_without_a_quarantine_key_count_as_failed(spark, paths):
+    land_messages(spark, paths, [message(1), message(2, payload=None)])
+    raw = table(spark, paths.raw, tables.RAW_TABLE).where("id = 'e2'")
+    write.append_days(raw.withColumn("user_id", F.lit(None).cast("int")), paths.raw)
+    for _ in range(2):
+        report = {r.sink: r for r in cleaning.clean(spark, paths, NOW).collect()}
+        assert report["invalid"].failed == 1
+        stored = table(spark, paths.invalid, tables.INVALID_TABLE)
+        assert [r.id for r in stored.collect()] == ["e2"]
+    assert report["invalid"].loaded == 0
+
+
+def test_repeated_metadata_keys_do_not_stop_a_run(spark, paths):
+    body = json.dumps(message(1)).replace('"eventTitle"', '"metadata": {"a": 1, "b": 2, "a": 3}, "eventTitle"')
+    rows = normalise.raw_from_messages(spark.createDataFrame([(body,)], "value string"), NOW)
+    ingest.land(rows, paths.raw, paths.raw + "-dead", "topic", NOW)
+    cleaning.clean(spark, paths, NOW)
+    assert clean_ids(spark, paths) == ["e1"]
+    assert table(spark, paths.raw, tables.RAW_TABLE).first().metadata == {"a": "3", "b": "2"}
+
+
+def test_a_missing_raw_table_is_an_error(spark, paths):
+    with pytest.raises(AnalysisException):
+        cleaning.clean(spark, paths, NOW)
+
+
+def test_jobs_leave_no_stages(spark, paths):
+    def stages():
+        folder = os.path.join(shared_dir(spark), "footfall")
+        names = os.listdir(folder) if os.path.isdir(folder) else []
+        return {n for n in names if n.startswith(("landing", "validated", "survivors", "clean-state", "visits"))}
+
+    before = stages()
+    land_messages(spark, paths, [message(1)])
+    cleaning.clean(spark, paths, NOW)
+    cleaning.compact_raw(spark, paths, before="2024-01-26")
+    assert stages() <= before
 
 
 def test_cleaning_run(spark, paths):
@@ -123,6 +170,21 @@ def test_compaction_keeps_the_visible_rows(spark, paths):
     assert table(spark, paths.raw, tables.RAW_TABLE).count() == 2
 
 
+def test_compaction_keeps_what_arrives_meanwhile(spark, paths, monkeypatch):
+    land_messages(spark, paths, [message(i) for i in range(3)])
+    cleaning.clean(spark, paths, NOW)
+    replace = cleaning.replace_files
+
+    def late(path, *rest):
+        if path == paths.raw:  # after the files were listed, before they are replaced
+            land_messages(spark, paths, [message(7, hours=2)], NOW + timedelta(hours=1))
+        replace(path, *rest)
+
+    monkeypatch.setattr(cleaning, "replace_files", late)
+    cleaning.compact_raw(spark, paths, before="2024-01-26")
+    assert [r.id for r in table(spark, paths.raw, tables.RAW_TABLE).collect()] == ["e7"]
+
+
 def test_compaction_of_a_day_that_empties(spark, paths):
     land_messages(spark, paths, [message(1), message(2)])
     cleaning.clean(spark, paths, NOW)
@@ -209,9 +271,18 @@ def test_reference_window_without_warmup(spark, clean_table, tmp_path):
     assert first.dau == first.wau == first.mau
 
 
-def test_marts_of_an_empty_table(spark, tmp_path):
-    marts.run_marts(spark, str(tmp_path / "none"), str(tmp_path / "marts"), NOW)
-    assert all(rows == [] for rows in all_marts(spark, str(tmp_path / "marts")).values())
+def test_marts_of_days_that_lost_their_rows(spark, clean_table, tmp_path):
+    out, emptied = str(tmp_path / "marts"), str(tmp_path / "clean")
+    as_of = datetime(2024, 1, 31, 2)
+    marts.run_marts(spark, clean_table, out, as_of)
+    stored = table(spark, clean_table, tables.CLEAN_TABLE)
+    write.append_days(stored.where("date < date'2024-01-25'"), emptied)
+    marts.run_marts(spark, emptied, out, as_of)
+    days = {r.date for r in marts.read_mart(spark, out, "user_activity_daily").collect()}
+    assert days == {date(2024, 1, 21) + timedelta(days=i) for i in range(4)}
+    write.append_days(stored.where("date < date'2023-01-01'").withColumn("date", F.lit("2023-01-01").cast("date")), emptied)
+    marts.run_marts(spark, emptied, out, datetime(2023, 6, 1))
+    assert {r.date for r in marts.read_mart(spark, out, "user_activity_daily").collect()} == days
 
 
 # --- streams --------------------------------------------------------------------------------
@@ -246,7 +317,7 @@ def test_csv_stream_takes_each_file_once(spark, tmp_path, paths):
     for name, part in (("a.csv", lines[:20]), ("b.csv", lines[20:])):
         (folder / name).write_text("\n".join([header, *part]))
         run = streams.start_ingest(
-            streams.stream_csv_drop(spark, str(folder), NOW), paths.raw, str(tmp_path / "dead"),
+            streams.stream_csv_drop(spark, str(folder)), paths.raw, str(tmp_path / "dead"),
             str(tmp_path / "checkpoint"), "csv", streams.DRAIN)
         run.awaitTermination()
     stored = table(spark, paths.raw, tables.RAW_TABLE).count()
@@ -254,5 +325,58 @@ def test_csv_stream_takes_each_file_once(spark, tmp_path, paths):
     assert stored > 0 and stored + dead == 40
 
 
+@pytest.mark.parametrize("dialect", files.DIALECTS)
+def test_csv_stream_reads_what_the_batch_reads(spark, tmp_path, dialect):
+    values = ["e1", "click", "bad time"] + [""] * 3 + ["7", "/u"] + [""] * 15
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "plain").write_text("header\n" + ",".join(values) + "\nx\x01y,z\n")
+    (tmp_path / "in" / "x.json").write_text("h\n{}")
+    stream = streams.stream_csv_drop(spark, str(tmp_path / "in"), dialect, any_name=True)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    stream.writeStream.option("checkpointLocation", checkpoint).trigger(**streams.DRAIN).start(out).awaitTermination()
+    batch = files.read_csv_drop(spark, str(tmp_path / "in"), dialect)
+    got = sorted(map(str, spark.read.parquet(out).collect()))
+    assert got == sorted(map(str, batch.collect()))
+    rows = {r.id: r for r in batch.collect()}
+    assert rows["e1"].created_at == rows["e1"].arrived_at.replace(
+        microsecond=rows["e1"].arrived_at.microsecond // 1000 * 1000)
+    assert "x\x01y,z" in {r.original for r in normalise.rejected(batch).collect()}
+
+
+def test_bodies_stream_takes_each_file_once(spark, tmp_path, paths):
+    for name in ("a.jsonl", "b.jsonl"):
+        drop(tmp_path / "in", name, [message(i, url=f"/{name}") for i in range(3)])
+        streams.start_ingest(
+            streams.stream_bodies(spark, str(tmp_path / "in")), paths.raw, str(tmp_path / "dead"),
+            str(tmp_path / "checkpoint"), "http", streams.DRAIN).awaitTermination()
+    assert table(spark, paths.raw, tables.RAW_TABLE).count() == 6
+
+
+def test_a_time_in_the_future_drops_no_later_row(spark, tmp_path):
+    bodies = [message(1, createdAt="2030-01-01T00:00:00"), message(2), message(2), message(3)]
+    for i, body in enumerate(bodies):
+        rows = normalise.raw_from_messages(spark.createDataFrame([(json.dumps(body),)], "value string"), NOW)
+        rows.drop("body", "reject_reason").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.05 * (i < 3))
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    run = streams.drop_repeats(source).writeStream.option("checkpointLocation", checkpoint)
+    run.trigger(**streams.DRAIN).start(out).awaitTermination()
+    assert sorted(r.id for r in spark.read.schema(schema).parquet(out).collect()) == ["e1", "e2", "e3"]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Conf:
+        def get(self, name, default=None):
+            return {"spark.master": "yarn"}.get(name, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

@@ -10,9 +10,9 @@ from footfall.operators import keyed, summary, validate
 
 NOW = datetime(2024, 1, 25, 12, 0, 0)
 VALID = {
-    "id": "e1", "type": "CLICK", "user_id": 123, "session_id": "session_123",
-    "url": "https://example.com", "user_agent": "Mozilla/5.0",
-    "created_at": NOW - timedelta(hours=1), "device_type": "DESKTOP", "element_id": "button_1",
+    "id": "e1", "type": "VIEW", "user_id": 17, "session_id": "sess-b",
+    "url": "/shop", "user_agent": "agent",
+    "created_at": NOW - timedelta(minutes=20), "device_type": "TABLET", "element_id": "#top",
 }
 LATER = datetime(2024, 1, 25, 13, 0, 0, 250000)
 
@@ -25,7 +25,7 @@ def frame(spark, rows):
 CASES = [
     ({}, "VALID", []),
     ({"device_type": None}, "VALID", []),
-    ({"type": "view", "device_type": "ios"}, "VALID", []),
+    ({"type": "click", "device_type": "ios"}, "VALID", []),
     ({"received_at": NOW}, "VALID", []),
     (
         dict.fromkeys(VALID),
@@ -34,14 +34,14 @@ CASES = [
          "Session ID is required", "URL is required", "User agent is required",
          "Created at timestamp is required"],
     ),
-    ({"type": "INVALID_TYPE"}, "INVALID", ["Invalid event type: INVALID_TYPE"]),
-    ({"user_id": -1}, "INVALID", ["User ID must be positive: -1"]),
+    ({"type": "HOVER"}, "INVALID", ["Invalid event type: HOVER"]),
+    ({"user_id": -9}, "INVALID", ["User ID must be positive: -9"]),
     ({"user_id": 0}, "INVALID", ["User ID must be positive: 0"]),
-    ({"device_type": "INVALID_DEVICE", "element_id": ""}, "INVALID",
-     ["Invalid device type: INVALID_DEVICE", "Element ID is required for events"]),
+    ({"device_type": "FRIDGE", "element_id": ""}, "INVALID",
+     ["Invalid device type: FRIDGE", "Element ID is required for events"]),
     ({"element_id": None}, "INVALID", ["Element ID is required for events"]),
     ({"type": None, "element_id": None}, "INVALID", ["Event type is required"]),
-    ({"device_type": "INVALID_DEVICE"}, "SUSPICIOUS", ["Invalid device type: INVALID_DEVICE"]),
+    ({"device_type": "FRIDGE"}, "SUSPICIOUS", ["Invalid device type: FRIDGE"]),
     ({"device_type": "required"}, "INVALID", ["Invalid device type: required"]),
     ({"created_at": LATER}, "SUSPICIOUS",
      ["Created at timestamp is in the future: 2024-01-25 13:00:00.250000"]),
@@ -67,9 +67,9 @@ def test_routes_cover_all_rows(validated):
     assert clean.count() == count["VALID"] + count["SUSPICIOUS"]
     assert bad.count() == count["INVALID"] + count["SUSPICIOUS"]
     assert clean.first().expires_at == NOW + timedelta(days=365)
-    row = bad.where(F.col("type") == "INVALID_TYPE").first()
+    row = bad.where(F.col("type") == "HOVER").first()
     assert row.expires_at == NOW + timedelta(days=7)
-    assert row.validation_error == "Invalid event type: INVALID_TYPE"
+    assert row.validation_error == "Invalid event type: HOVER"
 
 
 def test_message_counts(validated):
@@ -105,4 +105,4 @@ def test_processed_keys_skip_incomplete_ones(spark):
     assert [r.id for r in keys.collect()] == ["e1"]
     raw = frame(spark, [{}, {"id": ""}, {"user_id": None}, {"id": "e9"}])
     left = keyed.delete_processed(raw, keys)
-    assert sorted((r.user_id or 0, r.id) for r in left.collect()) == [(0, "e1"), (123, ""), (123, "e9")]
+    assert sorted((r.user_id or 0, r.id) for r in left.collect()) == [(0, "e1"), (17, ""), (17, "e9")]

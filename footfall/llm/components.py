@@ -9,6 +9,8 @@ the join can be split, and minima are aggregated before the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,18 +49,21 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
+def connected_components(
+    edges: DataFrame, left: str, right: str, stage: Callable[[DataFrame, str], DataFrame] = staged
+) -> DataFrame:
     """``node, component`` for every node of an edge; the component is its smallest node.
 
     Edges may repeat, point either way or be loops. Edges with a null end link nothing. Nodes that
-    occur only in loops are their own component. An empty table gives an empty result.
+    occur only in loops are their own component. An empty table gives an empty result. ``stage``
+    stores a round (``session.staging`` removes them at the end of a job).
     """
     ends = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a is not null and b is not null")
     pairs = ends.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct()
-    stars = staged(pairs, "edges")
+    stars = stage(pairs, "edges")
     seen = _state(stars)
     while seen[0]:
-        stars = staged(_small_star(_large_star(stars)), "stars")
+        stars = stage(_small_star(_large_star(stars)), "stars")
         now = _state(stars)
         if now == seen:
             break

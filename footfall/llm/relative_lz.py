@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.common import BROADCAST_ROWS, ROW_KEY, map_batches, narrow_key
+from footfall.llm.common import ROW_KEY, map_batches, narrow_key
 from footfall.llm.rolling import Rolling, mixed, ranges, runs
 from footfall.session import staged
 
@@ -160,11 +160,6 @@ def _cut(window: int, with_text: bool, batches: Iterator[pa.RecordBatch]) -> Ite
         yield pa.RecordBatch.from_arrays([batch.column("doc"), *found], ["doc", *kinds])
 
 
-def _by_text(texts: DataFrame, lists: DataFrame, n_entries: int, how: str) -> DataFrame:
-    """Lists of positions meet their texts: broadcast up to BROADCAST_ROWS entries, else both sides shuffle."""
-    return texts.join(F.broadcast(lists) if n_entries <= BROADCAST_ROWS else lists, ROW_KEY, how)
-
-
 def remove_earlier(
     docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True
 ) -> DataFrame:
@@ -182,8 +177,7 @@ def remove_earlier(
     if not RUN <= window <= 2000:
         raise ValueError(f"window {window} is out of range")
     texts = docs.select(*narrow_key(docs, id_col, text_col), F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    keyed = texts.select(*ROW_KEY, "text")
-    rows = map_batches(keyed, lambda b: _block_rows(window, b), "k long, t long, key_hi long, key_lo long, at long")
+    rows = map_batches(texts.select(*ROW_KEY, "text"), lambda b: _block_rows(window, b), "k long, t long, key_hi long, key_lo long, at long")
     # one shuffle by k serves all of these: the smallest id of a block, of a minimizer, and whether it has several blocks
     minimizer, block = Window.partitionBy("k"), Window.partitionBy("k", "t")
     met = (
@@ -200,17 +194,17 @@ def remove_earlier(
         "blocks",
     )
     asked = found.where("asked").groupBy(*ROW_KEY).agg(F.collect_set("at").alias("asked"))
+    # texts are dealt once by their key; the plan's two joins with lists of places reuse that shuffle
+    dealt = texts.repartition(*(F.col(c) for c in ROW_KEY))
     names = map_batches(
-        _by_text(keyed, asked, found.where("asked").count(), "inner"), lambda b: _window_names(window, b),
-        "w1 long, w2 long, key_hi long, key_lo long, p long",
+        dealt.join(asked, ROW_KEY), lambda b: _window_names(window, b), "w1 long, w2 long, key_hi long, key_lo long, p long"
     )
     earliest = F.min("key_hi").over(Window.partitionBy("w1", "w2"))
-    single = staged(names.withColumn("first", earliest).where("key_hi > first").select(*ROW_KEY, "p"), "windows")
-    n_found = found.where("repeat").count() + single.count()
+    single = names.withColumn("first", earliest).where("key_hi > first").select(*ROW_KEY, "p")
     lists = found.where("repeat").groupBy(*ROW_KEY).agg(F.collect_set("at").alias("whole")).join(
         single.groupBy(*ROW_KEY).agg(F.collect_set("p").alias("single")), ROW_KEY, "full_outer"
     )
-    joined = _by_text(texts, lists, n_found, "left").drop(*ROW_KEY)
+    joined = dealt.join(lists, ROW_KEY, "left").drop(*ROW_KEY)
     schema = T.StructType([joined.schema["doc"]]).add("n_words", "long").add("n_removed", "long")
     schema = schema.add("n_factors", "long").add("kept_sha256", "string")
     if with_text:

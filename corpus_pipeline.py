@@ -16,7 +16,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.common import SPACES, table
+from footfall.llm.common import table
 from footfall.llm.decontaminate import drop_contaminated
 from footfall.llm.line_dedup import drop_frequent_lines
 from footfall.llm.ngram_join import keep_one_of_each
@@ -34,10 +34,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more go; a document of which nothing is left goes too."""
+    """Lines found in ten documents or more go; a document of which nothing is left stays with the empty text."""
     others = [c for c in docs.columns if c != "text"]
     packed = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in others)).alias("__row"))
-    kept = drop_frequent_lines(packed, min_docs=10).where(F.length(F.btrim("text", F.lit(SPACES))) > 0)
+    kept = drop_frequent_lines(packed, min_docs=10)
     columns = {c: F.col(f"__row.`{c}`").alias(c) for c in others} | {"text": F.col("text")}
     if "n_chars" in columns:
         columns["n_chars"] = F.length("text").cast("long").alias("n_chars")

@@ -44,3 +44,21 @@ def test_odd_rows_and_no_rows(spark, odd, nothing, sf_dir):
         n = docs.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == n
         assert n == 0 or n < rows.count()
+
+
+def test_group_of_many_copies_is_not_lost(spark, tmp_path):
+    """All lines of ten copies are frequent: each copy stays, with the empty text, to the end."""
+    copied = f"{prose(3, 150)}\n{prose(4, 150)}"
+    rows = [(i, copied) for i in range(1, 13)] + [(i, prose(i, 200)) for i in range(20, 25)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, prose(900, 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    judged = staged(corpus_pipeline.quality_rules(spark, docs, str(tmp_path)), "test")
+    left = corpus_pipeline.line_dedup(spark, judged, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in left} == {
+        i: ("", 0) if i < 20 else (t, n) for i, t, _, _, n in rows
+    }
+    last = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["n_pieces"] > 0 for r in last} == {r[0]: r[0] >= 20 for r in rows}

@@ -55,8 +55,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def piece_segmentation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document left, with its best and next segmentations into pieces."""
-    return segment(docs, tokenizer_file(PIECES), n_best=2, with_paths=True)
+    """Every document left, with its four best segmentations into pieces, each decoded again."""
+    return segment(docs, tokenizer_file(PIECES), n_best=4, with_paths=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

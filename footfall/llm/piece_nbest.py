@@ -220,28 +220,55 @@ RESULTS = {
     "n_pieces": pa.int64(), "score": pa.float64(), "n_found": pa.int64(), "margin": pa.float64(),
     "ids_crc32": pa.int64(), "round_trip": pa.bool_(),
 }
+#: Rows are passed on when their paths have this many bytes of ids, so that long texts do not add up.
+PASSED_ON = 1 << 24
+
+
+def _path_lists(paths: list[list[tuple[float, bytes, str]]]) -> pa.Array:
+    """``list<struct<score, ids, decoded>>``, built from flat arrays: one object per piece would be slow."""
+    every = [path for of_row in paths for path in of_row]
+    places = np.cumsum([0, *(len(ids) // 4 for _, ids, _ in every)], dtype=np.int32)
+    pieces = pa.array(np.frombuffer(b"".join(ids for _, ids, _ in every), "<i4"), pa.int32())
+    parts = [
+        pa.array([score for score, _, _ in every], pa.float64()),
+        pa.ListArray.from_arrays(pa.array(places, pa.int32()), pieces),
+        pa.array([text for _, _, text in every], pa.string()),
+    ]
+    rows = np.cumsum([0, *map(len, paths)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.StructArray.from_arrays(parts, ["score", "ids", "decoded"]))
 
 
 def _segment(path: str, n: int, with_paths: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     model = piece_model(path)
-    path_type = pa.struct([("score", pa.float64()), ("ids", pa.list_(pa.int32()))])
-    for batch in batches:
-        rows, paths = [], []
-        for text in batch.column("text").to_pylist():
-            found = model.n_best(text or "", n)
-            score, ids = found[0]
-            margin = score - found[1][0] if len(found) > 1 else None
-            rows.append((len(ids) // 4, score, len(found), margin, zlib.crc32(ids), model.decode(ids) == (text or "")))
-            if with_paths:
-                paths.append([{"score": s, "ids": np.frombuffer(i, "<i4")} for s, i in found])
+
+    def passed_on(batch: pa.RecordBatch, start: int, rows: list[tuple], paths: list) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) if rows else [()] * len(RESULTS)
         arrays = [pa.array(c, k) for c, k in zip(columns, RESULTS.values(), strict=True)]
         names = list(RESULTS)
         if with_paths:
-            arrays.append(pa.array(paths, pa.list_(path_type)))
+            arrays.append(_path_lists(paths))
             names.append("paths")
-        rest = [(m, c) for m, c in zip(batch.schema.names, batch.columns, strict=True) if m != "text"]
-        yield pa.RecordBatch.from_arrays([*(c for _, c in rest), *arrays], [*(m for m, _ in rest), *names])
+        part = batch.slice(start, len(rows))
+        rest = [(m, c) for m, c in zip(part.schema.names, part.columns, strict=True) if m != "text"]
+        return pa.RecordBatch.from_arrays([*(c for _, c in rest), *arrays], [*(m for m, _ in rest), *names])
+
+    for batch in batches:
+        start, held, rows, paths = 0, 0, [], []
+        for text in batch.column("text").to_pylist():
+            text = text or ""
+            found = model.n_best(text, n)
+            score, ids = found[0]
+            margin = score - found[1][0] if len(found) > 1 else None
+            decoded = [model.decode(i) for _, i in found]
+            rows.append((len(ids) // 4, score, len(found), margin, zlib.crc32(ids), all(d == text for d in decoded)))
+            if with_paths:
+                paths.append([(s, i, d) for (s, i), d in zip(found, decoded, strict=True)])
+                held += sum(len(i) for _, i in found)
+            if held > PASSED_ON:
+                yield passed_on(batch, start, rows, paths)
+                start, held, rows, paths = start + len(rows), 0, [], []
+        if rows:
+            yield passed_on(batch, start, rows, paths)
 
 
 def segment(
@@ -250,10 +277,11 @@ def segment(
     """``docs`` without the text, with its segmentation.
 
     ``n_pieces, score, ids_crc32`` of the best path, ``n_found`` (how many of the ``n_best`` exist),
-    ``margin`` (best score less second, null without a second), ``round_trip`` (decoding the best
-    path gives the text back) and, ``with_paths``, ``paths`` (score and ids of each). Null and empty
-    texts have one empty path of score 0. Characters beyond the vocabulary become their bytes.
-    Repeated rows are segmented alike; columns with the results' names are replaced.
+    ``margin`` (best score less second, null without a second), ``round_trip`` (decoding gives the
+    text back, for every path found) and, ``with_paths``, ``paths`` (of each its score, ids and
+    decoded text, best first). Null and empty texts have one empty path of score 0. Characters beyond
+    the vocabulary become their bytes. Repeated rows are segmented alike; columns with the results'
+    names are replaced.
     """
     results = {*RESULTS, "paths"}
     others = [c for c in docs.columns if c != text_col and c not in results]
@@ -263,6 +291,6 @@ def segment(
     schema = schema.add("n_pieces", "long").add("score", "double").add("n_found", "long").add("margin", "double")
     schema = schema.add("ids_crc32", "long").add("round_trip", "boolean")
     if with_paths:
-        schema = T.StructType(schema.fields + T.StructType.fromDDL("paths array<struct<score:double,ids:array<int>>>").fields)
+        schema = T.StructType(schema.fields + T.StructType.fromDDL("paths array<struct<score:double,ids:array<int>,decoded:string>>").fields)
     out = map_batches(plain, lambda b: _segment(model_path, n_best, with_paths, b), schema)
     return out.select(*(F.col(c).alias(m) for m, c in carried.items()), *schema.fieldNames()[len(carried) :])

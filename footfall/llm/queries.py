@@ -89,7 +89,7 @@ def op8_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return segment(docs, tokenizer_file(PIECES), n_best=4, with_paths=False)
+    return segment(docs, tokenizer_file(PIECES), n_best=4, with_paths=True)
 
 
 def op10_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:

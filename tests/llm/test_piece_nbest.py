@@ -1,8 +1,9 @@
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from footfall.llm import piece_nbest as n
-from footfall.llm.queries import PIECES, tokenizer_file
+from footfall.llm.queries import PIECES, QUERIES, tokenizer_file
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +59,35 @@ def test_segment(spark, odd, odd_rows, nothing, model):
     texts = sorted(model.decode(np.array(r["paths"][-1]["ids"], "<u4").tobytes()) for r in rows)
     assert texts == sorted(r[1] or "" for r in odd_rows)
     assert n.segment(nothing, tokenizer_file(PIECES)).count() == 0
+
+
+def test_every_path_is_in_the_result(spark, model, tmp_path):
+    """op9 and the pipeline's last stage return score, ids and decoded text of all four paths."""
+    texts = {1: "the cat", 2: "a b c d", 3: "a\nb", 4: "n\u00e9 \u00e9", 5: "", 6: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    op9 = QUERIES["op9_piece_nbest"](spark, str(tmp_path))
+    for out in (op9, corpus_pipeline.piece_segmentation(spark, docs, str(tmp_path))):
+        rows = {r["doc_id"]: r for r in out.collect()}
+        assert rows.keys() == texts.keys()
+        for doc, text in texts.items():
+            every = every_path(model, text or "")
+            paths = rows[doc]["paths"]
+            assert [p["score"] for p in paths] == pytest.approx([s for s, _ in every[:4]])
+            found = [np.array(p["ids"], "<u4").tobytes() for p in paths]
+            assert len(set(found)) == len(found) == rows[doc]["n_found"]
+            assert all(any(ids == other and p["score"] == pytest.approx(s) for s, other in every) for ids, p in zip(found, paths, strict=True))
+            assert all(p["decoded"] == (text or "") for p in paths) and rows[doc]["round_trip"]
+
+
+def test_rows_are_passed_on_in_parts(monkeypatch):
+    """Parts of a batch, cut by the size of their paths, hold the same rows as the whole."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"c0": list(range(5)), "text": ["one two", None, "three four five", "", "six"]})
+    run = lambda: list(n._segment(tokenizer_file(PIECES), 3, True, iter([batch])))
+    whole = run()
+    monkeypatch.setattr(n, "PASSED_ON", 20)
+    parts = run()
+    assert len(whole) == 1 and len(parts) > 2
+    assert pa.Table.from_batches(parts).to_pylist() == pa.Table.from_batches(whole).to_pylist()

@@ -109,4 +109,75 @@ ORACLES = {
                coalesce(own.verdict, CASE WHEN allowed THEN 'allow' WHEN NOT allowed THEN 'block' END, 'allow') AS verdict
         FROM split s LEFT JOIN own ON own.url = s.url LEFT JOIN nodes n ON n.url = s.url LEFT JOIN alias ON alias.node = n.node
     """,
+    # crc32 over the decimal id: each byte is followed by seven zeros, one bit step for each entry
+    "op11_merkle_manifest": r"""
+        WITH RECURSIVE framed AS (
+            SELECT doc_id, source,
+                   coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-')
+                   || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS others,
+                   coalesce(strlen(text) || ':' || text, '-') AS same,
+                   coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-') AS cut,
+                   list_reduce(
+                       list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+                           string_split(CAST(doc_id AS VARCHAR), ''),
+                           lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+                       lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))) AS crc_flipped
+            FROM documents
+        ), leaves AS (
+            SELECT doc_id, source, sha256(others || same) AS leaf,
+                   -- the checksum is the flipped register: even where the register is odd
+                   sha256(others || CASE WHEN crc_flipped % 2 = 1 THEN cut ELSE same END) AS held,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place,
+                   count(*) OVER (PARTITION BY source) AS n
+            FROM framed
+        ), nodes AS (
+            SELECT source, 0 AS level, place AS idx, leaf AS digest, n FROM leaves
+            UNION ALL
+            SELECT source, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3
+            FROM nodes WHERE n > 1 GROUP BY source, level, idx // 3, n
+        ), subroots AS (
+            SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+                   count(*) OVER () AS n
+            FROM nodes WHERE n = 1
+        ), tops AS (
+            SELECT 0 AS level, place AS idx, subroot AS digest, n FROM subroots
+            UNION ALL
+            SELECT level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3
+            FROM tops WHERE n > 1 GROUP BY level, idx // 3, n
+        ), powers AS (
+            SELECT level, CAST(3 ** level AS BIGINT) AS width FROM range(40) t(level) WHERE level < 30
+        ), below AS (
+            SELECT l.doc_id, n.level, n.level AS step,
+                   coalesce(string_agg(n.digest, '' ORDER BY n.idx) FILTER (n.idx < l.place // p.width), '')
+                   || '|' || coalesce(string_agg(n.digest, '' ORDER BY n.idx) FILTER (n.idx > l.place // p.width), '') AS pair
+            FROM leaves l JOIN powers p ON true
+            JOIN nodes n ON n.level = p.level AND n.source IS NOT DISTINCT FROM l.source AND n.n > 1
+                AND n.idx // 3 = l.place // p.width // 3
+            GROUP BY l.doc_id, n.level
+        ), above AS (
+            SELECT s.source, 100 + t.level AS step,
+                   coalesce(string_agg(t.digest, '' ORDER BY t.idx) FILTER (t.idx < s.place // p.width), '')
+                   || '|' || coalesce(string_agg(t.digest, '' ORDER BY t.idx) FILTER (t.idx > s.place // p.width), '') AS pair
+            FROM subroots s JOIN powers p ON true
+            JOIN tops t ON t.level = p.level AND t.n > 1 AND t.idx // 3 = s.place // p.width // 3
+            GROUP BY s.source, t.level
+        ), paths AS (
+            SELECT doc_id, list(pair ORDER BY step) AS path
+            FROM (SELECT doc_id, step, pair FROM below
+                  UNION ALL
+                  SELECT l.doc_id, a.step, a.pair FROM leaves l JOIN above a ON a.source IS NOT DISTINCT FROM l.source)
+            GROUP BY doc_id
+        ), folded AS (
+            SELECT l.doc_id, l.leaf, s.subroot, (SELECT digest FROM tops WHERE n = 1) AS root,
+                   sha256(array_to_string(list_transform(coalesce(p.path, []), lambda x: replace(x, '|', '')), ''))
+                       AS proof_sha256,
+                   list_reduce(list_concat([l.held], coalesce(p.path, [])),
+                       lambda a, x: sha256(split_part(x, '|', 1) || a || split_part(x, '|', 2))) AS folded_root
+            FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source
+            LEFT JOIN paths p ON p.doc_id = l.doc_id
+        )
+        SELECT *, folded_root = root AS verified FROM folded
+    """,
 }

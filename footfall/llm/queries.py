@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from footfall.llm.common import table
 from footfall.llm.decontaminate import contamination
 from footfall.llm.line_dedup import drop_frequent_lines
+from footfall.llm.merkle_manifest import manifest, row_digest
 from footfall.llm.ngram_join import near_duplicates
 from footfall.llm.piece_nbest import segment
 from footfall.llm.quality_divergence import METRICS, judge_quality
@@ -97,6 +98,16 @@ def op10_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    others = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    held = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return manifest(
+        docs, "source", "doc_id", row_digest(*others, F.col("text")), row_digest(*others, held), keep=("doc_id",)
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_divergence": op2_quality_divergence,
@@ -108,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity_grammar": op8_toxicity_grammar,
     "op9_piece_nbest": op9_piece_nbest,
     "op10_url_redirects": op10_url_redirects,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }

@@ -1,5 +1,46 @@
 """DuckDB SQL for the queries that SQL can express on whole tables."""
 
+
+
+def _clusters_sql(k: int, rounds: int, seed: str) -> str:
+    """Lloyd's rounds over integer components, one pair of CTEs a round."""
+    parts = [f"""
+        WITH kept AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+        ), flat AS (
+            SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept
+        ), first AS (
+            SELECT vec_id, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS c FROM kept
+        ), c0 AS (
+            SELECT f.c, p.i, p.x FROM first f JOIN flat p USING (vec_id) WHERE f.c < {k}
+        )"""]
+    for r in range(rounds + 1):
+        parts.append(f""", a{r} AS (
+            SELECT vec_id, arg_min(c, (d, c)) AS c, min(d) AS d
+            FROM (SELECT f.vec_id, c.c, sum((f.x - c.x) * (f.x - c.x)) AS d
+                  FROM flat f JOIN c{r} c USING (i) GROUP BY f.vec_id, c.c)
+            GROUP BY vec_id
+        )""")
+        if r < rounds:
+            parts.append(f""", m{r} AS (
+            SELECT a.c, f.i, CAST(sum(f.x) AS BIGINT) AS s, count(*) AS n FROM a{r} a JOIN flat f USING (vec_id) GROUP BY a.c, f.i
+        ), c{r + 1} AS (
+            SELECT c.c, c.i, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, c.x) AS x
+            FROM c{r} c LEFT JOIN m{r} m ON m.c = c.c AND m.i = c.i
+        )""")
+    parts.append(f"""
+        SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+               CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(a.d) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+        FROM a{rounds} a
+        JOIN (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c) h
+        USING (c)
+    """)
+    return "".join(parts)
+
+
 ORACLES = {
     "op1_line_dedup": r"""
         WITH split AS (
@@ -180,4 +221,5 @@ ORACLES = {
         )
         SELECT *, folded_root = root AS verified FROM folded
     """,
+    "op13_walsh_clusters": _clusters_sql(k=40, rounds=5, seed="2"),
 }

@@ -20,6 +20,7 @@ from footfall.llm.substring_dedup import remove_repeats
 from footfall.llm.token_store import read_token_files, write_token_files
 from footfall.llm.toxicity_grammar import fold, score_toxicity, train
 from footfall.llm.url_redirects import Rule, judge_pages
+from footfall.llm.walsh_clusters import cluster
 from footfall.session import shared_path
 
 #: The folder of public vocabulary files, as a package; its place is found at run time.
@@ -108,6 +109,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_walsh_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    placed = cluster(vectors, k=40, rounds=5, seed="2", id_col="vec_id", vector_col="embedding")
+    return placed.drop("n_finished")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_divergence": op2_quality_divergence,
@@ -120,4 +127,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_piece_nbest": op9_piece_nbest,
     "op10_url_redirects": op10_url_redirects,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_walsh_clusters": op13_walsh_clusters,
 }

@@ -14,6 +14,7 @@ from footfall.llm.line_dedup import drop_frequent_lines
 from footfall.llm.merkle_manifest import manifest, row_digest
 from footfall.llm.ngram_join import near_duplicates
 from footfall.llm.piece_nbest import segment
+from footfall.llm.prefix_tokens import count_prefixes, within_budget
 from footfall.llm.quality_divergence import METRICS, judge_quality
 from footfall.llm.relative_lz import remove_earlier
 from footfall.llm.substring_dedup import remove_repeats
@@ -21,7 +22,7 @@ from footfall.llm.token_store import read_token_files, write_token_files
 from footfall.llm.toxicity_grammar import fold, score_toxicity, train
 from footfall.llm.url_redirects import Rule, judge_pages
 from footfall.llm.walsh_clusters import cluster
-from footfall.session import shared_path
+from footfall.session import shared_path, staged, staging
 
 #: The folder of public vocabulary files, as a package; its place is found at run time.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -109,6 +110,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with staging(spark) as stage:
+        stored = stage(count_prefixes(docs, tokenizer_file(BYTE_BPE)), "prefixes")
+        return staged(within_budget(stored, limit=1024).drop("n_prefixes"), "budgets")
+
+
 def op13_walsh_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     placed = cluster(vectors, k=40, rounds=5, seed="2", id_col="vec_id", vector_col="embedding")
@@ -127,5 +135,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_piece_nbest": op9_piece_nbest,
     "op10_url_redirects": op10_url_redirects,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_prefix_tokens": op12_prefix_tokens,
     "op13_walsh_clusters": op13_walsh_clusters,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -26,12 +27,21 @@ def is_empty(c: Column) -> Column:
 _OUTER_QUOTES = r"""(?s)\A(["'])(?:(.*)\1)?\z"""
 
 
+def _has_quote(c: Column) -> Column:
+    return F.contains(c, F.lit('"')) | F.contains(c, F.lit("'"))
+
+
 def safe_string(c: Column) -> Column:
-    """Trim, drop one pair of outer quotes, undouble quotes; missing or empty gives null."""
-    text = F.regexp_replace(strip(F.when(F.lower(c) != "null", c)), _OUTER_QUOTES, "$2")
+    """Trim, drop one pair of outer quotes, undouble quotes; missing or empty gives null.
+
+    Most texts have no quote, so the regular expression is kept for those that do.
+    """
+    is_null = (F.length(c) == 4) & (F.lower(c) == "null")
+    bare = strip(F.when(~is_null, c))
+    text = F.regexp_replace(bare, _OUTER_QUOTES, "$2")
     for quote in QUOTES:
         text = F.replace(text, F.lit(quote * 2), F.lit(quote))
-    return F.nullif(text, F.lit(""))
+    return F.nullif(F.when(_has_quote(c), text).otherwise(bare), F.lit(""))
 
 
 def safe_int(c: Column, kind: str = "int") -> Column:
@@ -41,7 +51,9 @@ def safe_int(c: Column, kind: str = "int") -> Column:
 
 def safe_double(c: Column) -> Column:
     # A trailing d or f after a digit is a Java literal suffix, not a number.
-    return F.when(~c.rlike(r"[0-9.][dDfF][\s\"']*$"), strip(c, QUOTES).try_cast("double"))
+    lower = F.lower(c)
+    suspect = (F.contains(lower, F.lit("d")) | F.contains(lower, F.lit("f"))) & c.rlike(r"[0-9.][dDfF][\s\"']*$")
+    return F.when(~suspect, strip(c, QUOTES).try_cast("double"))
 
 
 def metadata_map(c: Column) -> Column:
@@ -50,20 +62,35 @@ def metadata_map(c: Column) -> Column:
     One pair of quotes around the whole text is dropped; of a repeated key the last value counts.
     """
     empty = F.create_map().cast("map<string,string>")
-    bare = F.regexp_replace(strip(c), _AROUND_ALL, "$2")
+    stripped = strip(c)
+    quoted = F.startswith(stripped, F.lit('"')) | F.startswith(stripped, F.lit("'"))
+    bare = F.when(quoted, F.regexp_replace(stripped, _AROUND_ALL, "$2")).otherwise(stripped)
     return F.coalesce(text_values(F.from_json(bare, "map<string,string>")), empty)
 
 
 _AROUND_ALL = r"""(?s)\A(["'])(.*)\1\z"""
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it.
+
+    A column is an expression: mentioned in a lambda, it would be computed again for every element.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def last_of_each(entries: Column) -> Column:
     """Map entries without those whose key comes again later."""
-    def again(entry: Column, i: Column) -> Column:
-        rest = F.slice(entries, i + 2, F.size(entries))
-        return F.exists(rest, lambda later: later["key"] == entry["key"])
+    def without_earlier(listed: Column) -> Column:
+        keys = F.transform(listed, lambda e: e["key"])
+
+        def last(entry: Column, i: Column) -> Column:
+            return ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), entry["key"])
+
+        repeats = F.size(F.array_distinct(keys)) < F.size(keys)
+        return F.when(repeats, F.filter(listed, last)).otherwise(listed)
 
-    return F.filter(entries, lambda entry, i: ~again(entry, i))
+    return bound(entries, without_earlier)
 
 
 def text_values(m: Column) -> Column:

@@ -8,20 +8,38 @@ from .text import QUOTES
 
 _DATE = r"\d{4}-\d{1,2}-\d{1,2}"
 _TIME = r"\d{1,2}:\d{1,2}:\d{1,2}"
-_FRACTION = r"(?:\.\d{1,6})?"
-_BEYOND_MICROS = r"(?:(?<=\.\d{6})\d{1,3})?"
 _ANY_QUOTES = f"[{QUOTES}]*"
+MICROS, MILLIS = 6, 3  # fraction digits that a parse keeps
+
+
+def _fraction(kept: int, allowed: int) -> tuple[str, str]:
+    """Patterns of up to ``kept`` fraction digits, and of those beyond them that are cut off."""
+    beyond = rf"(?:(?<=\.\d{{{kept}}})\d{{1,{allowed - kept}}})?" if allowed > kept else ""
+    return rf"(?:\.\d{{1,{kept}}})?", beyond
+
 
 # Fixed shapes; group 1 is the text to cast.
-# Message: ``T`` or blank between date and time, fraction optional, ``Z`` only with ``T``.
-MESSAGE_SHAPE = (
-    rf"^\s*{_ANY_QUOTES}(?!{_DATE} .*Z)({_DATE}[T ]{_TIME}{_FRACTION})"
-    rf"{_BEYOND_MICROS}Z?{_ANY_QUOTES}\s*$"
-)
-# CSV: no ``Z``, and no fraction after a blank.
-CSV_SHAPE = rf"^{_ANY_QUOTES}({_DATE}(?:T{_TIME}{_FRACTION}| {_TIME})){_ANY_QUOTES}$"
-# ISO local date-time: two-digit parts, seconds optional.
-ISO_SHAPE = rf"^(\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}(?::\d{{2}}{_FRACTION})?){_BEYOND_MICROS}$"
+def message_shape(kept: int = MICROS) -> str:
+    """``T`` or blank between date and time, fraction optional, ``Z`` only with ``T``."""
+    fraction, beyond = _fraction(kept, 9)
+    return (
+        rf"^\s*{_ANY_QUOTES}(?!{_DATE} .*Z)({_DATE}[T ]{_TIME}{fraction})"
+        rf"{beyond}Z?{_ANY_QUOTES}\s*$"
+    )
+
+
+def csv_shape(kept: int = MICROS) -> str:
+    """No ``Z``, and no fraction after a blank."""
+    fraction, beyond = _fraction(kept, 6)
+    return rf"^{_ANY_QUOTES}({_DATE}(?:T{_TIME}{fraction}| {_TIME})){beyond}{_ANY_QUOTES}$"
+
+
+def iso_shape(kept: int = MICROS) -> str:
+    """ISO local date-time: two-digit parts, seconds optional."""
+    fraction, beyond = _fraction(kept, 9)
+    return rf"^(\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}(?::\d{{2}}{fraction})?){beyond}$"
+
+
 NUMBER_SHAPE = rf"^\s*{_ANY_QUOTES}([+-]?\d+(?:\.\d*)?(?:[eE][+-]?\d+)?){_ANY_QUOTES}\s*$"
 
 
@@ -42,18 +60,21 @@ def epoch_seconds(c: Column) -> Column:
     return epoch + F.make_dt_interval(secs=F.when(known, seconds))
 
 
-def parse_message_time(c: Column) -> Column:
-    """Text of a topic message: a shaped date-time, or a number of epoch seconds."""
-    number = F.regexp_extract(c, NUMBER_SHAPE, 1)
-    return F.coalesce(_cast_shaped(c, MESSAGE_SHAPE), epoch_seconds(number))
+def parse_message_time(c: Column, kept: int = MICROS) -> Column:
+    """Text of a topic message: a shaped date-time, or a number of epoch seconds.
+
+    All parsers cut to ``kept`` fraction digits, in the text, which costs nothing.
+    """
+    number = epoch_seconds(F.regexp_extract(c, NUMBER_SHAPE, 1))
+    return F.coalesce(_cast_shaped(c, message_shape(kept)), number if kept == MICROS else to_millis(number))
 
 
-def parse_csv_time(c: Column) -> Column:
-    return _cast_shaped(c, CSV_SHAPE)
+def parse_csv_time(c: Column, kept: int = MICROS) -> Column:
+    return _cast_shaped(c, csv_shape(kept))
 
 
-def parse_iso_time(c: Column) -> Column:
-    return _cast_shaped(c, ISO_SHAPE)
+def parse_iso_time(c: Column, kept: int = MICROS) -> Column:
+    return _cast_shaped(c, iso_shape(kept))
 
 
 def to_millis(c: Column) -> Column:

@@ -77,8 +77,8 @@ def raw_from_csv(
     for field in schemas.RAW.fields:
         cell = value[field.name]
         if isinstance(field.dataType, T.TimestampNTZType):
-            row[field.name] = timestamps.to_millis(
-                F.coalesce(timestamps.parse_csv_time(cell), now)
+            row[field.name] = F.coalesce(
+                timestamps.parse_csv_time(cell, timestamps.MILLIS), timestamps.to_millis(now)
             )
         elif isinstance(field.dataType, (T.IntegerType, T.LongType)):
             row[field.name] = text.safe_int(cell, field.dataType.simpleString())
@@ -102,7 +102,7 @@ def raw_from_csv(
     typed = fields.select(
         CORRUPT,
         *(row[name].alias(name) for name in schemas.RAW_COLUMNS),
-        content_id(*value.values()).alias("fallback_id"),
+        F.when(row["id"].isNull(), content_id(*value.values())).alias("fallback_id"),
         *keep,
     )
     final = {name: F.col(name) for name in schemas.RAW_COLUMNS}
@@ -187,8 +187,8 @@ def raw_from_messages(
     now = timestamps.as_time(as_of)
     fields = _message_fields()
     for name in ("created_at", "received_at"):
-        fields[name] = timestamps.to_millis(
-            F.coalesce(timestamps.parse_message_time(fields[name]), now)
+        fields[name] = F.coalesce(
+            timestamps.parse_message_time(fields[name], timestamps.MILLIS), timestamps.to_millis(now)
         )
     fields["id"] = F.coalesce(F.nullif(fields["id"], F.lit("")), content_id(F.col("body")))
     decoded = _decode(messages, column, keep, with_keys=True)
@@ -214,9 +214,9 @@ def raw_from_bodies(
     now = timestamps.as_time(as_of)
     fields = _message_fields()
     sent = {name: fields[name] for name in ("created_at", "received_at")}
-    parsed = {name: timestamps.parse_iso_time(c) for name, c in sent.items()}
+    parsed = {name: timestamps.parse_iso_time(c, timestamps.MILLIS) for name, c in sent.items()}
     for name in sent:
-        fields[name] = timestamps.to_millis(F.coalesce(parsed[name], now))
+        fields[name] = F.coalesce(parsed[name], timestamps.to_millis(now))
     fields["id"] = content_id(F.col("body"))
     reason = _first_reason(
         (F.col("m").isNull() | _wrong_type(), "not a valid body"),

@@ -176,3 +176,19 @@ def test_times_do_not_depend_on_the_session_zone(spark):
             "2024-03-10 02:30:00", "2024-03-10 02:30:00.123000"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_bound_value_is_in_the_plan_once(spark):
+    """What a lambda mentions must not be computed again for every entry."""
+    df = spark.range(3).select(text.metadata_map(F.col("id").cast("string")).alias("m"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1, plan
+
+
+def test_times_cut_in_the_text(spark):
+    rows = [("2024-05-06T07:08:09.123456",), ("2024-05-06T07:08:09.1",), ("2024-05-06 07:08:09",), ("2024-05-06T07:08:09.123456789",),
+            ("2024-05-06T07:08:09.1234567891",), ("1714979289.123456",), ("2024-05-06T07:08:09.12Z",), (None,)]
+    df = spark.createDataFrame(rows, "s string")
+    for parse in (timestamps.parse_message_time, timestamps.parse_csv_time, timestamps.parse_iso_time):
+        both = df.select(parse(F.col("s"), timestamps.MILLIS).alias("cut"), timestamps.to_millis(parse(F.col("s"))).alias("whole"))
+        assert all(r.cut == r.whole for r in both.collect()), parse

@@ -473,6 +473,16 @@ feeds AS (
 SELECT source, CAST(ts AS DATE) AS date, CAST(count(*) AS BIGINT) AS events,
   CAST(count(DISTINCT user_id) AS BIGINT) AS users FROM feeds GROUP BY 1, 2"""
 
+ORACLES["stream_counts"] = _with(_MESSAGES) + """
+SELECT 'topic' AS source, CAST(i % 4 AS BIGINT) AS batch_id,
+  CAST(count(*) FILTER (reason IS NULL) AS BIGINT) AS accepted,
+  CAST(count(*) FILTER (reason IS NOT NULL) AS BIGINT) AS refused,
+  round(100.0::DOUBLE * count(*) FILTER (reason IS NULL) / count(*), 2) AS success_rate
+FROM topic GROUP BY i % 4"""
+ORACLES["stream_replay"] = _with(_MESSAGES) + """
+SELECT CAST(i AS VARCHAR) AS id, CAST(user_id AS INT) AS user_id, CAST(1 AS BIGINT) AS copies
+FROM topic WHERE reason IS NULL"""
+
 ORACLES["metadata_map"] = """
 WITH good AS (SELECT event_id, user_id, regexp_extract(props, '([0-9]+)', 1) AS k FROM events
               WHERE event_id % 5 <> 0 AND event_id % 7 <> 0 AND event_id % 11 <> 0)
@@ -518,6 +528,20 @@ ORACLES["csv_drop_stored"] = (
     f"SELECT * EXCLUDE (created_at, received_at) FROM ({ORACLES['csv_ingest']})"
 )
 
+# --- stored marts ---------------------------------------------------------------------------
+
+# Ten days before the first of the two runs.
+_STORED_SINCE = "date >= DATE '2024-01-12'"
+ORACLES["stored_user_activity"] = f"SELECT * FROM ({ORACLES['user_activity_daily']}) WHERE {_STORED_SINCE}"
+ORACLES["stored_session_metrics"] = f"SELECT * FROM ({ORACLES['session_metrics_daily']}) WHERE {_STORED_SINCE}"
+ORACLES["stored_device_distribution"] = (
+    f"SELECT * FROM ({ORACLES['device_distribution_daily']}) WHERE {_STORED_SINCE}"
+)
+ORACLES["stored_top_pages"] = f"SELECT * FROM ({ORACLES['top_pages_daily']}) WHERE {_STORED_SINCE}"
+ORACLES["stored_element_conversion"] = ORACLES["element_conversion"].replace(
+    _ELEMENTS, _ELEMENTS.replace("FROM cat WHERE", "FROM cat WHERE date >= DATE '2024-01-21' AND")
+)
+
 # --- dashboard ------------------------------------------------------------------------------
 
 

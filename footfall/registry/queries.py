@@ -14,10 +14,13 @@ from ..operators import (
     activity, conversion, dashboard, devices, keyed, normalise, pages, sessions, summary, validate,
     visits,
 )
+from ..plans import day_state
 from ..plans.ingest import ingest_csv
+from ..plans.marts import read_mart
+from ..plans.write import append_days
 from ..session import shared_path
 from ..sources import tables, testdata
-from ..streaming import ingest
+from ..streaming import counts, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -478,6 +481,45 @@ def stream_late_rows(spark, sf):
     return spark.read.schema(schema).parquet(target)
 
 
+def _topic_in_parts(spark, sf, landed: str, parts: int = 4):
+    """Messages of the events, a part at a time, through the topic stream; yields after each part."""
+    messages = testdata.json_messages(_events(spark, sf).withColumn("part", F.pmod("event_id", F.lit(parts))), keep=("part",))
+    sent = messages.withColumn("timestamp", timestamps.as_time(VALIDATION_TIME).cast("timestamp"))
+    for part in range(parts):
+        sent.where(F.col("part") == part).select("value", "timestamp").write.mode("append").parquet(f"{landed}/in")
+        schema = "value string, timestamp timestamp"
+        source = spark.readStream.schema(schema).parquet(f"{landed}/in")
+        yield ingest.decode_topic(source)
+
+
+def _land(rows: DataFrame, landed: str, checkpoint: str = "checkpoint"):
+    return ingest.start_ingest(
+        rows, f"{landed}/raw", f"{landed}/dead", f"{landed}/{checkpoint}", "topic", ingest.DRAIN, ledger=f"{landed}/ledger"
+    )
+
+
+@query
+def stream_counts(spark, sf):
+    """Accepted and refused messages of every batch, as the stream itself counted them."""
+    landed = shared_path(spark, "counted")
+    for rows in _topic_in_parts(spark, sf, landed):
+        listener = counts.BatchCounts(spark, f"{landed}/counts", "topic")
+        listener.close(_land(rows, landed))
+    return spark.read.schema(counts.COUNTS).parquet(f"{landed}/counts")
+
+
+@query
+def stream_replay(spark, sf):
+    """The raw table after every part was sent and the first batches were played again from a lost checkpoint."""
+    landed = shared_path(spark, "replayed")
+    for part, rows in enumerate(_topic_in_parts(spark, sf, landed)):
+        _land(rows, landed).awaitTermination()
+        if part == 0:  # the same batch, under the same number
+            _land(rows, landed, "checkpoint-again").awaitTermination()
+    raw = tables.read_table(spark, f"{landed}/raw", tables.RAW_TABLE)
+    return raw.groupBy("id", "user_id").agg(F.count(F.lit(1)).alias("copies"))
+
+
 @query
 def upsert_with_metadata(spark, sf):
     """Two versions of every event, both with a repeated key in their metadata."""
@@ -506,6 +548,56 @@ def csv_drop_stored(spark, sf):
     return _shown_csv(rows.withColumn("reject_reason", F.lit(None).cast("string"))).drop("created_at", "received_at")
 
 
+# --- stored marts ---------------------------------------------------------------------------
+
+FIRST_RUN, SECOND_RUN = datetime(2024, 1, 22), datetime(2024, 1, 31)
+
+
+def _stored_mart(spark, sf, name: str) -> DataFrame:
+    """Two overlapping runs over a clean table that grew between them; the mart as it is stored."""
+    home = shared_path(spark, "stored-marts")
+    clean = testdata.clean_events(_events(spark, sf))
+    created = F.col("created_at")
+    loads = (
+        (clean.where(created < timestamps.as_time(FIRST_RUN)), FIRST_RUN),
+        (clean.where(created >= timestamps.as_time(FIRST_RUN - timedelta(days=2))), SECOND_RUN),
+    )
+    for rows, at in loads:
+        day = rows.withColumn("date", event_day(created))
+        stamped = day.withColumns(
+            {"loaded_at": timestamps.as_time(at), "expires_at": timestamps.as_time(at + timedelta(days=365))}
+        )
+        typed = stamped.select(*(F.col(f.name).cast(f.dataType) for f in tables.CLEAN_TABLE.fields))
+        append_days(typed, f"{home}/clean")
+        day_state.run_marts_from_state(spark, f"{home}/clean", f"{home}/state", f"{home}/marts", at, only=(name,))
+    return read_mart(spark, f"{home}/marts", name).drop("calculation_timestamp")
+
+
+@query
+def stored_user_activity(spark, sf):
+    return _stored_mart(spark, sf, "user_activity_daily")
+
+
+@query
+def stored_element_conversion(spark, sf):
+    return _stored_mart(spark, sf, "element_conversion")
+
+
+@query
+def stored_session_metrics(spark, sf):
+    return deviation_rounded(_stored_mart(spark, sf, "session_metrics_daily"))
+
+
+@query
+def stored_device_distribution(spark, sf):
+    return _stored_mart(spark, sf, "device_distribution_daily")
+
+
+@query
+def stored_top_pages(spark, sf):
+    return _stored_mart(spark, sf, "top_pages_daily")
+
+
 # --- dashboard ------------------------------------------------------------------------------
 
 

@@ -132,7 +132,7 @@ def csv_lines(events: DataFrame) -> DataFrame:
                          .alias("line"))
 
 
-def json_messages(events: DataFrame, with_id: bool = True) -> DataFrame:
+def json_messages(events: DataFrame, with_id: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """A JSON message per event as the ``value`` column of a topic."""
     i, k = F.col("event_id"), F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     payload = F.struct(
@@ -178,4 +178,4 @@ def json_messages(events: DataFrame, with_id: bool = True) -> DataFrame:
         .when(i % 43 == 0, message())
         .otherwise(message(payload=payload))
     )
-    return events.select("event_id", value.alias("value"))
+    return events.select("event_id", value.alias("value"), *keep)

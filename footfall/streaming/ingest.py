@@ -9,6 +9,7 @@ from .. import schemas
 from ..operators import normalise
 from ..plans.ingest import land
 from ..sources import files
+from . import counts
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 DRAIN = {"availableNow": True}
@@ -16,19 +17,26 @@ DRAIN = {"availableNow": True}
 
 def start_ingest(
     rows: DataFrame, raw_path: str, dead_path: str, checkpoint: str, source: str, trigger: dict,
-    arrived: str = "arrived_at",
+    arrived: str = "arrived_at", ledger: str | None = None,
 ) -> StreamingQuery:
     """Land every micro-batch. The checkpoint holds the offsets and moves on after the writes.
 
     Rows bring their own load time in ``arrived`` (of the message or the file), so a batch that is
-    written again after a failure is the same batch.
+    written again after a failure is the same batch. With a ``ledger`` every written batch is listed
+    there, and one that is listed is not written again: a replay appends nothing. A batch that died
+    between its rows and its line in the ledger is repeated, and readers keep the last write of a key.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if ledger and counts.is_written(spark, ledger, source, batch_id):
+            return
         land(batch, raw_path, dead_path, source, F.col(arrived))
+        if ledger:
+            counts.mark_written(spark, ledger, source, batch_id)
 
-    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return writer.trigger(**trigger).start()
+    writer = counts.observed(rows).writeStream.queryName(counts.stream_name(source, checkpoint)).foreachBatch(write)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def decode_topic(messages: DataFrame) -> DataFrame:

@@ -32,7 +32,8 @@ from footfall.llm.common import map_batches
 MARK = "▁"
 #: Scores below this are placeholders of the model; they count as its lowest other score.
 PLACEHOLDER = -1e8
-CACHED_WORDS, KEPT_WORDS = 400_000, 250_000
+#: What a worker remembers of words and of their further paths, in bytes; longer words are not remembered.
+WORD_BYTES, PATH_BYTES, LONGEST = 48 << 20, 16 << 20, 200
 _models: dict[str, PieceModel] = {}
 
 
@@ -67,8 +68,9 @@ class PieceModel:
         self.alone = [chr(c) for c in range(32) if chr(c) not in used]
         alone = re.escape("".join(self.alone))
         self.word = None if inner else re.compile(f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+|[{alone}]")
-        self.known: dict[str, tuple[float, bytes, float]] = {}
-        self.searched: dict[str, list[tuple[float, bytes]]] = {}
+        self.known: dict[str, tuple[float, bytes, float, bytes]] = {}
+        self.searched: dict[str, list[tuple[float, bytes, bytes]]] = {}
+        self.known_bytes = self.searched_bytes = 0
 
     # -- one word
 
@@ -156,57 +158,90 @@ class PieceModel:
                 cut = cut.replace(char, f"\0{char}\0")
         return [w for w in cut.split("\0") if w]
 
-    def n_best(self, text: str, n: int) -> list[tuple[float, bytes]]:
-        """The ``n`` best segmentations of a text, best first: score and ids (little-endian, 32 bits).
+    def _learned(self, words: list[str], found: list) -> list[tuple[float, bytes, float, bytes]]:
+        """``found`` with its gaps filled; new words are remembered while there is room."""
+        new: dict[str, tuple[float, bytes, float, bytes]] = {}
+        for i, known in enumerate(found):
+            if known is None:
+                word = words[i]
+                if word not in new:
+                    score, ids, loss = self.best(word)
+                    new[word] = (score, ids, loss, self._spelled(ids))
+                found[i] = new[word]
+        for word, entry in new.items():
+            if len(word) <= LONGEST:
+                self.known_bytes += 300 + 2 * len(word) + len(entry[1]) + len(entry[3])
+                self.known[word] = entry
+        if self.known_bytes > WORD_BYTES:  # the words learned first are the commonest
+            self.known = dict(islice(self.known.items(), len(self.known) // 2))
+            self.known_bytes //= 2
+        return found
+
+    def n_best(self, text: str, n: int) -> list[tuple[float, bytes, bytes]]:
+        """The ``n`` best segmentations of a text, best first: score, ids (little-endian, 32 bits), decoded bytes.
 
-        Of equal scores, those that leave the best path in earlier words come first.
+        Of equal scores, those that leave the best path in earlier words come first. A further path is
+        the best one with a few words replaced, in its ids and in its bytes alike.
         """
         words = self.words(text)
-        known = self.known
-        try:
-            found = [known[w] for w in words]
-        except KeyError:
-            if len(known) > CACHED_WORDS:
-                self.known = known = dict(islice(known.items(), KEPT_WORDS))
-            known.update((w, self.best(w)) for w in set(words) if w not in known)
-            found = [known[w] for w in words]
+        found = list(map(self.known.get, words))
+        if None in found:
+            found = self._learned(words, found)
         if not found:
-            return [(0.0, b"")]
-        scores, ids, losses = zip(*found, strict=True)
+            return [(0.0, b"", b"")]
+        scores, ids, losses, spelled = zip(*found, strict=True)
         total = sum(scores)
-        out = [(total, b"".join(ids))]
+        all_ids, all_bytes = b"".join(ids), b"".join(spelled)
+        out = [(total, all_ids, _without_first_space(all_bytes))]
         if n < 2:
             return out
         # another path changes words; only the n - 1 words with the smallest loss can be among the n best
         loss_of = np.array(losses)
         last = np.sort(np.partition(loss_of, min(n - 1, len(losses)) - 1)[: n - 1])[-1]
         near = np.flatnonzero(loss_of < last).tolist() + np.flatnonzero(loss_of == last).tolist()
-        near = [i for i in near[: n - 1] if losses[i] < np.inf]
+        near = sorted(i for i in near[: n - 1] if losses[i] < np.inf)
         choices: list[tuple[float, tuple]] = [(0.0, ())]
-        for i in sorted(near):
-            paths = self._paths(words[i], n)
-            top = paths[0][0]
-            merged = [(loss + top - s, (*changed, (i, k)) if k else changed) for loss, changed in choices for k, (s, _) in enumerate(paths)]
+        paths_of = {i: self._paths(words[i], n) for i in near}
+        for i in near:
+            top = paths_of[i][0][0]
+            merged = [(loss + top - s, (*changed, (i, k)) if k else changed) for loss, changed in choices for k, (s, _, _) in enumerate(paths_of[i])]
             choices = heapq.nsmallest(n, merged)
+        start_ids = {i: sum(map(len, ids[:i])) for i in near}
+        start_bytes = {i: sum(map(len, spelled[:i])) for i in near}
         for loss, changed in choices[1:]:
-            parts = list(ids)
+            other_ids, other_bytes = [], []
+            at_ids = at_bytes = 0
             for i, k in changed:
-                parts[i] = self._paths(words[i], n)[k][1]
-            out.append((total - loss, b"".join(parts)))
+                _, new_ids, new_bytes = paths_of[i][k]
+                other_ids += (all_ids[at_ids : start_ids[i]], new_ids)
+                other_bytes += (all_bytes[at_bytes : start_bytes[i]], new_bytes)
+                at_ids, at_bytes = start_ids[i] + len(ids[i]), start_bytes[i] + len(spelled[i])
+            other_ids.append(all_ids[at_ids:])
+            other_bytes.append(all_bytes[at_bytes:])
+            out.append((total - loss, b"".join(other_ids), _without_first_space(b"".join(other_bytes))))
         return out
 
-    def _paths(self, word: str, n: int) -> list[tuple[float, bytes]]:
+    def _paths(self, word: str, n: int) -> list[tuple[float, bytes, bytes]]:
         found = self.searched.get(word)
         if found is None or len(found) < n:
-            if len(self.searched) > 100_000:
-                self.searched.clear()
-            found = self.searched[word] = self.search(word, n)
+            found = [(score, ids, self._spelled(ids)) for score, ids in self.search(word, n)]
+            if len(word) <= LONGEST:
+                self.searched_bytes += 200 + sum(200 + len(ids) + len(data) for _, ids, data in found)
+                if self.searched_bytes > PATH_BYTES:
+                    self.searched, self.searched_bytes = {}, 0
+                self.searched[word] = found
         return found[:n]
 
+    def _spelled(self, ids: bytes) -> bytes:
+        return b"".join(map(self.texts.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
     def decode(self, ids: bytes) -> str:
         """The text of ids: bytes joined to characters, marks to spaces, the first space dropped."""
-        data = b"".join(map(self.texts.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
+        return _without_first_space(self._spelled(ids)).decode("utf-8", "replace")
+
+
+def _without_first_space(data: bytes) -> bytes:
+    return data[1:] if data[:1] == b" " else data
 
 
 def piece_model(path: str) -> PieceModel:
@@ -220,11 +255,11 @@ RESULTS = {
     "n_pieces": pa.int64(), "score": pa.float64(), "n_found": pa.int64(), "margin": pa.float64(),
     "ids_crc32": pa.int64(), "round_trip": pa.bool_(),
 }
-#: Rows are passed on when their paths have this many bytes of ids, so that long texts do not add up.
+#: Rows are passed on when their paths have this many bytes, so that long texts do not add up.
 PASSED_ON = 1 << 24
 
 
-def _path_lists(paths: list[list[tuple[float, bytes, str]]]) -> pa.Array:
+def _path_lists(paths: list[list[tuple[float, bytes, bytes]]]) -> pa.Array:
     """``list<struct<score, ids, decoded>>``, built from flat arrays: one object per piece would be slow."""
     every = [path for of_row in paths for path in of_row]
     places = np.cumsum([0, *(len(ids) // 4 for _, ids, _ in every)], dtype=np.int32)
@@ -232,7 +267,7 @@ def _path_lists(paths: list[list[tuple[float, bytes, str]]]) -> pa.Array:
     parts = [
         pa.array([score for score, _, _ in every], pa.float64()),
         pa.ListArray.from_arrays(pa.array(places, pa.int32()), pieces),
-        pa.array([text for _, _, text in every], pa.string()),
+        pa.array([data for _, _, data in every], pa.string()),
     ]
     rows = np.cumsum([0, *map(len, paths)], dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.StructArray.from_arrays(parts, ["score", "ids", "decoded"]))
@@ -254,16 +289,21 @@ def _segment(path: str, n: int, with_paths: bool, batches: Iterator[pa.RecordBat
 
     for batch in batches:
         start, held, rows, paths = 0, 0, [], []
-        for text in batch.column("text").to_pylist():
-            text = text or ""
+        for value in batch.column("text"):
+            text = value.as_py() or ""
+            data = text.encode()
             found = model.n_best(text, n)
-            score, ids = found[0]
+            score, ids, _ = found[0]
             margin = score - found[1][0] if len(found) > 1 else None
-            decoded = [model.decode(i) for _, i in found]
-            rows.append((len(ids) // 4, score, len(found), margin, zlib.crc32(ids), all(d == text for d in decoded)))
+            whole = [decoded == data for _, _, decoded in found]
+            rows.append((len(ids) // 4, score, len(found), margin, zlib.crc32(ids), all(whole)))
             if with_paths:
-                paths.append([(s, i, d) for (s, i), d in zip(found, decoded, strict=True)])
-                held += sum(len(i) for _, i in found)
+                # what does not spell the text may be no valid UTF-8
+                paths.append([
+                    (s, i, d if same else d.decode("utf-8", "replace").encode())
+                    for (s, i, d), same in zip(found, whole, strict=True)
+                ])
+                held += sum(len(i) + len(d) for _, i, d in found)
             if held > PASSED_ON:
                 yield passed_on(batch, start, rows, paths)
                 start, held, rows, paths = start + len(rows), 0, [], []

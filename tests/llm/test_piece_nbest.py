@@ -32,18 +32,19 @@ def every_path(model, text):
 @pytest.mark.parametrize("text", ["", "a", " ", "a b", "the cat", "  x", "a\nb", "né é", "日本x", "idiot  ok", "a b c d", "ab\tcd", "\x00a", "a\r\nb", "▁x"])
 def test_n_best_against_all_paths(model, text):
     found, every = model.n_best(text, 6), every_path(model, text)
-    assert [s for s, _ in found] == pytest.approx([s for s, _ in every[:6]])
-    assert all(any(ids == other and s == pytest.approx(t) for t, other in every) for s, ids in found)
-    assert len({ids for _, ids in found}) == len(found)
+    assert [s for s, *_ in found] == pytest.approx([s for s, _ in every[:6]])
+    assert all(any(ids == other and s == pytest.approx(t) for t, other in every) for s, ids, _ in found)
+    assert len({ids for _, ids, _ in found}) == len(found)
+    assert all(model.decode(ids) == spelled.decode("utf-8", "replace") for _, ids, spelled in found)
     if "▁" not in text:
-        assert all(model.decode(ids) == text for _, ids in found)
+        assert all(spelled.decode() == text for *_, spelled in found)
 
 
 def test_full_cache(model, monkeypatch):
     text = "one two three four five six"
     want = model.n_best(text, 3)
-    monkeypatch.setattr(n, "CACHED_WORDS", 3)
-    monkeypatch.setattr(n, "KEPT_WORDS", 1)
+    monkeypatch.setattr(n, "WORD_BYTES", 900)
+    monkeypatch.setattr(n, "PATH_BYTES", 900)
     assert model.n_best("seven eight", 3) and model.n_best(text, 3) == want
 
 

@@ -28,9 +28,10 @@ from footfall.session import staged
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or stray from every language reference go."""
-    marked = docs.withColumn("__row", F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
-    judged = judge_quality(marked.select("__row", F.col("text").alias("text"), F.col("lang").alias("lang")))
-    return judged.where("kept").select("__row.*")
+    others = [c for c in docs.columns if c != "text"]
+    packed = docs.select("text", "lang", F.struct(*(F.col(f"`{c}`") for c in others)).alias("row"))
+    kept = judge_quality(packed).where("kept")
+    return kept.select(*(F.col("text" if c == "text" else f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ import zlib
 from collections.abc import Iterator
 from itertools import islice
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -57,6 +58,11 @@ class PieceModel:
         #: Score and id of each piece; None for what is only the beginning of pieces.
         self.entries: dict[str, tuple[float, bytes] | None] = {p[:k]: None for p in self.pieces for k in range(1, len(p))}
         self.entries |= {p: (s, i.to_bytes(4, "little")) for p, (s, i) in self.pieces.items()}
+        self.letters = {p for p in self.pieces if len(p) == 1}
+        self.edges = ahocorasick.Automaton()
+        for p, (weight, i) in self.pieces.items():
+            self.edges.add_word(p, (len(p), weight, i.to_bytes(4, "little")))
+        self.edges.make_automaton()
         self.texts = [
             bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i)
             else b"" if model.is_control(i) else "⁇".encode() if model.is_unknown(i)
@@ -95,6 +101,18 @@ class PieceModel:
         n, entry = len(word), self.entries.get
         score, second = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1)
         back: list[tuple[int, bytes]] = [(0, b"")] * (n + 1)
+        if self.letters.issuperset(word):
+            # every character is a piece: the edges of the lattice come from one pass over the word,
+            # those that end at one place together, the longest first
+            for end, (length, weight, ids) in self.edges.iter(word):
+                end += 1
+                start = end - length
+                new = score[start] + weight
+                if new > score[end]:
+                    second[end], score[end], back[end] = score[end], new, (start, ids)
+                elif new > second[end]:
+                    second[end] = new
+            return self._traced(score, second, back)
         for start in range(n):
             at = score[start]
             for end in range(start + 1, n + 1):
@@ -112,13 +130,16 @@ class PieceModel:
                     second[end], score[end], back[end] = score[end], new, (start, found[1])
                 elif new > second[end]:
                     second[end] = new
-        at, ids, loss = n, [], np.inf
+        return self._traced(score, second, back)
+
+    def _traced(self, score: list[float], second: list[float], back: list[tuple[int, bytes]]) -> tuple[float, bytes, float]:
+        at, ids, loss = len(score) - 1, [], np.inf
         while at:
             loss = min(loss, score[at] - second[at])
             at, found = back[at]
             ids.append(found)
         ids.reverse()
-        return score[n], b"".join(ids), loss
+        return score[-1], b"".join(ids), loss
 
     def _unknown(self, char: str) -> tuple[float, bytes]:
         ids = [self.bytes.get(b) for b in char.encode("utf-8", "surrogatepass")]

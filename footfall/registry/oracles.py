@@ -403,6 +403,10 @@ FROM lines"""
 
 # --- keyed state ----------------------------------------------------------------------------
 
+ORACLES["invalid_state"] = _VALIDATED + """
+SELECT user_id, id, CASE WHEN bool_or(TRY_CAST(id AS BIGINT) % 3 = 0) THEN TIMESTAMP '2024-01-25 00:00:00'
+                         ELSE TIMESTAMP '2024-01-24 00:00:00' END AS processed_at
+FROM checked WHERE status <> 'VALID' GROUP BY user_id, id"""
 ORACLES["dedup_hash"] = _with(_BASE) + f"""
 SELECT event_id AS id, md5(concat_ws('_', event_id, CAST(user_id AS VARCHAR), session_id,
   event_type, {_text('created_at')}, CAST(coalesce(x, 0) AS VARCHAR),

@@ -203,6 +203,20 @@ def invalid_events(spark, sf):
     return validate.quarantine_rows(_validated(spark, sf), VALIDATION_TIME)
 
 
+@query
+def invalid_state(spark, sf):
+    """The quarantine after three runs: one whose rows have expired, one over all, one that judged a third again."""
+    validated = _validated(spark, sf)
+    runs = [
+        validate.quarantine_rows(rows, VALIDATION_TIME - timedelta(days=days))
+        for rows, days in (
+            (validated, 8), (validated, 1), (validated.where(F.col("id").try_cast("bigint") % 3 == 0), 0),
+        )
+    ]
+    stored = runs[0].unionByName(runs[1]).unionByName(runs[2])
+    return tables.invalid_state(stored, VALIDATION_TIME).select("user_id", "id", "processed_at")
+
+
 @query
 def load_report(spark, sf):
     return summary.load_report(_validated(spark, sf))

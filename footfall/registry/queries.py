@@ -479,19 +479,17 @@ def stream_late_rows(spark, sf):
     again = rows.where("batch < 2").withColumn("batch", F.lit(3))
     folder, target, checkpoint = (shared_path(spark, f"late-{part}") for part in ("in", "out", "checkpoint"))
     sent = rows.unionByName(ahead).unionByName(again)
-    for batch in range(4):
-        part = sent.where(F.col("batch") == batch).drop("batch")
-        part.coalesce(1).write.mode("append").parquet(folder)
     schema = sent.drop("batch").schema
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    run = (
-        ingest.drop_repeats(source)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(target)
-    )
-    run.awaitTermination()
+    for batch in range(4):  # what a run finds is one micro-batch, of as many files as there are tasks
+        sent.where(F.col("batch") == batch).drop("batch").write.mode("append").parquet(folder)
+        run = (
+            ingest.drop_repeats(spark.readStream.schema(schema).parquet(folder))
+            .writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(target)
+        )
+        run.awaitTermination()
     return spark.read.schema(schema).parquet(target)
 
 

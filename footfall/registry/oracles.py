@@ -528,9 +528,7 @@ UNION ALL SELECT CAST(max(user_id) AS INTEGER), TIMESTAMP '2030-01-01 00:00:00',
 ORACLES["upsert_with_metadata"] = """
 SELECT event_id, 'last' AS k, CAST(event_id AS VARCHAR) AS n, CAST(2 AS INTEGER) AS size FROM events"""
 
-ORACLES["csv_drop_stored"] = (
-    f"SELECT * EXCLUDE (created_at, received_at) FROM ({ORACLES['csv_ingest']})"
-)
+ORACLES["csv_drop_stored"] = ORACLES["csv_ingest"]
 
 # --- stored marts ---------------------------------------------------------------------------
 

@@ -550,14 +550,14 @@ def upsert_with_metadata(spark, sf):
 def csv_drop_stored(spark, sf):
     """A drop folder in the wire format through one sweep; the raw table it leaves."""
     folder, raw, dead = (shared_path(spark, f"drop-{part}") for part in ("in", "raw", "dead"))
-    lines = testdata.csv_lines(_events(spark, sf)).select(F.col("line").alias("value"))
-    header = spark.range(1).select(F.lit(",".join(schemas.CSV_COLUMNS)).alias("value"))
-    as_is = {"sep": "\x01", "quote": "", "escape": "", "emptyValue": "",
+    # every task writes its own file; the column's name is the header line of each
+    lines = testdata.csv_lines(_events(spark, sf)).select(F.col("line").alias(",".join(schemas.CSV_COLUMNS)))
+    as_is = {"header": "true", "sep": "\x01", "quote": "", "escape": "", "emptyValue": "",
              "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    header.coalesce(1).unionByName(lines.coalesce(1)).coalesce(1).write.options(**as_is).csv(folder)
+    lines.write.options(**as_is).csv(folder)
     ingest_csv(spark, folder, raw, dead)
     rows = tables.read_table(spark, raw, tables.RAW_TABLE)
-    return _shown_csv(rows.withColumn("reject_reason", F.lit(None).cast("string"))).drop("created_at", "received_at")
+    return _shown_csv(rows.withColumn("reject_reason", F.lit(None).cast("string")))
 
 
 # --- stored marts ---------------------------------------------------------------------------

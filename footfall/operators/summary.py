@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from .. import schemas
 from ..functions.events import DUPLICATE_NAMES, duplicate_coordinates
@@ -34,36 +34,73 @@ def session_summary(metrics: DataFrame) -> DataFrame:
     )
 
 
+def _missing(names: tuple[str, ...]) -> Column:
+    hit = F.lit(False)
+    for name in names:
+        hit = hit | F.col(name).isNull()
+    return hit
+
+
+_IS_CLEAN, _IS_BAD = "status != 'INVALID'", "status != 'VALID'"
+
+
 def load_report(validated: DataFrame) -> DataFrame:
     """Total, loaded, failed and success rate of every sink and of the whole run.
 
-    A row fails where the table's key would have a null part. One aggregate over the routed rows.
+    A row fails where the table's key would have a null part. Rows that are the same event count once
+    in the clean sink, rows of one raw key once in the deletion. Events are reduced to one row each,
+    these to one row per raw key: both groupings combine before their shuffle.
     """
-    status = F.col("status")
-
-    def missing(names: tuple[str, ...]) -> Column:
-        hit = F.lit(False)
-        for name in names:
-            hit = hit | F.col(name).isNull()
-        return hit
-
-    event = F.struct(
-        *DUPLICATE_NAMES, *(c.alias(f"at_{i}") for i, c in enumerate(duplicate_coordinates()))
+    x, y = duplicate_coordinates()
+    of_event = validated.groupBy(*DUPLICATE_NAMES, x.alias("at_x"), y.alias("at_y")).agg(
+        F.max(F.expr(_IS_CLEAN).cast("long")).alias("clean"),
+        F.count_if(F.expr(_IS_BAD)).alias("invalid"),
+        F.count(F.lit(1)).alias("rows"),
     )
-    is_clean, is_bad = status != "INVALID", status != "VALID"
-
-    def distinct_events(condition: Column) -> Column:
-        return F.count_distinct(F.when(condition, event))
-
-    totals = validated.agg(
-        distinct_events(is_clean).alias("clean"),
-        distinct_events(is_clean & missing(schemas.CLEAN_KEY)).alias("clean_failed"),
-        F.count_if(is_bad).alias("invalid"),
-        F.count_if(is_bad & missing(schemas.INVALID_KEY)).alias("invalid_failed"),
-        F.count_distinct(F.when(complete_key(), F.struct(*schemas.RAW_KEY))).alias("deleted"),
-        F.count_if(~complete_key()).alias("undeletable"),
+    of_key = of_event.groupBy(*schemas.RAW_KEY).agg(
+        *(F.sum(name).alias(name) for name in ("clean", "invalid", "rows"))
     )
 
+    def total(value: str | Column, condition: Column | None = None) -> Column:
+        value = F.col(value) if isinstance(value, str) else value
+        return F.coalesce(F.sum(value if condition is None else F.when(condition, value)), F.lit(0))
+
+    return report_lines(
+        of_key.agg(
+            total("clean").alias("clean"),
+            total("clean", _missing(schemas.CLEAN_KEY)).alias("clean_failed"),
+            total("invalid").alias("invalid"),
+            total("invalid", _missing(schemas.INVALID_KEY)).alias("invalid_failed"),
+            F.count_if(complete_key()).alias("deleted"),
+            total("rows", ~complete_key()).alias("undeletable"),
+        )
+    )
+
+
+def observed_report(validated: DataFrame) -> tuple[DataFrame, Observation]:
+    """``validated``, one row per raw key, with the figures of its load report counted as it is written."""
+    observation = Observation()
+    is_clean, is_bad = F.expr(_IS_CLEAN), F.expr(_IS_BAD)
+    counts = {
+        "clean": is_clean,
+        "clean_failed": is_clean & _missing(schemas.CLEAN_KEY),
+        "invalid": is_bad,
+        "invalid_failed": is_bad & _missing(schemas.INVALID_KEY),
+        "deleted": complete_key(),
+        "undeletable": ~complete_key(),
+    }
+    return validated.observe(observation, *(F.count_if(c).alias(n) for n, c in counts.items())), observation
+
+
+def report_of(spark: SparkSession, observation: Observation) -> DataFrame:
+    """The load report of rows that have been written."""
+    counts = observation.get
+    return report_lines(spark.createDataFrame([counts], ", ".join(f"{name} long" for name in counts)))
+
+
+def report_lines(totals: DataFrame) -> DataFrame:
+    """Four lines from the six counts."""
+
     def line(sink: str, total: Column, failed: Column) -> Column:
         loaded = total - failed
         rate = F.try_divide(loaded.cast("double"), total.cast("double")) * 100.0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -11,7 +12,7 @@ from .. import schemas
 from ..operators import keyed, summary, validate
 from ..session import staging
 from ..sources import tables
-from .write import append_days, read_files, replace_files
+from .write import append_days, files_of, read_files, replace_files
 
 LOOKBACK = timedelta(days=1)  # fixed value: trailing range one run looks at
 
@@ -49,32 +50,47 @@ def _tables(spark: SparkSession, paths: CleaningPaths) -> tuple[DataFrame, DataF
 def clean(
     spark: SparkSession, paths: CleaningPaths, as_of: datetime, lookback: timedelta = LOOKBACK
 ) -> DataFrame:
-    """One cleaning run; returns the load report.
+    """One cleaning run; returns the load report."""
+    raw, processed = _tables(spark, paths)
+    return route(raw, processed, appender(paths), as_of, lookback)
+
+
+Put = Callable[[DataFrame, str], None]
+
+
+def appender(paths: CleaningPaths) -> Put:
+    """Appends rows to the tables on ``paths``, sorted inside their files."""
+    order = {"clean": ("user_id", F.desc("created_at"), "id"), "invalid": ("user_id", "id"), "processed": ("user_id",)}
+    return lambda rows, part: append_days(rows, getattr(paths, part), *order[part])
+
+
+def route(raw: DataFrame, processed: DataFrame, put: Put, as_of: datetime, lookback: timedelta) -> DataFrame:
+    """Validate the raw rows no run has taken, ``put`` them into their tables, return the load report.
 
     The validated rows, one per raw key, are written to the shared folder once, and all sinks read
-    that copy. Rows whose quarantine key has a null part fail there and are counted as failed. The
-    keys are listed as processed last: a run that dies earlier is repeated as a whole, and what it
-    appended twice is one row in ``clean_state`` and ``invalid_state``.
+    that copy; they are counted for the report while they are written. Rows whose quarantine key has
+    a null part fail there and are counted as failed. The keys are listed as processed last: a run
+    that dies earlier is repeated as a whole, and what it appended twice is one row in
+    ``clean_state`` and ``invalid_state``.
     """
-    low = as_of - lookback
-    raw, processed = (tables.raw_window(t, low, as_of) for t in _tables(spark, paths))
+    spark = raw.sparkSession
+    raw, processed = (tables.raw_window(t, as_of - lookback, as_of) for t in (raw, processed))
     current = keyed.last_write_wins(unprocessed(raw, processed), schemas.RAW_KEY)
     with staging(spark) as stage:
-        validated = stage(validate.with_validation(current, as_of), "validated")
-        append_days(
-            validate.clean_rows(validated, as_of).withColumn("date", F.to_date("created_at")),
-            paths.clean,
-            "user_id",
-            F.desc("created_at"),
-            "id",
-        )
-        bad = validate.quarantine_rows(validated, as_of).dropna(subset=list(schemas.INVALID_KEY))
-        append_days(bad.withColumn("date", F.to_date("processed_at")), paths.invalid, "user_id", "id")
-
-        done = validated.where(validate.complete_key()).select(*schemas.RAW_KEY, "ingested_at")
-        append_days(done.withColumn("date", F.to_date("created_at")), paths.processed, "user_id")
-        report = summary.load_report(validated)
-        return spark.createDataFrame(report.collect(), report.schema)  # four rows
+        counted, observation = summary.observed_report(validate.with_validation(current, as_of))
+        put_validated(stage(counted, "validated"), put, as_of)
+        report = summary.report_of(spark, observation)
+    return report
+
+
+def put_validated(validated: DataFrame, put: Put, as_of) -> None:
+    """Clean and quarantined rows to their tables, then the keys that are done with."""
+    good = validate.clean_rows(validated, as_of)
+    put(good.withColumn("date", F.to_date("created_at")), "clean")
+    bad = validate.quarantine_rows(validated, as_of).dropna(subset=list(schemas.INVALID_KEY))
+    put(bad.withColumn("date", F.to_date("processed_at")), "invalid")
+    done = validated.where(validate.complete_key()).select(*schemas.RAW_KEY, "ingested_at")
+    put(done.withColumn("date", F.to_date("created_at")), "processed")
 
 
 def compact_raw(spark: SparkSession, paths: CleaningPaths, before) -> None:
@@ -86,7 +102,7 @@ def compact_raw(spark: SparkSession, paths: CleaningPaths, before) -> None:
     """
     raw, processed = _tables(spark, paths)
     closed = F.col("date") < F.lit(str(before)).cast("date")
-    raw_files, done_files = (sorted(t.where(closed).inputFiles()) for t in (raw, processed))
+    raw_files, done_files = (files_of(t.where(closed)) for t in (raw, processed))
     if not raw_files or not done_files:
         return
     old = read_files(spark, paths.raw, raw_files, tables.RAW_TABLE)
@@ -99,8 +115,7 @@ def compact_raw(spark: SparkSession, paths: CleaningPaths, before) -> None:
 def purge_expired(spark: SparkSession, path: str, schema: T.StructType, as_of) -> None:
     """Remove expired rows from a table: the files that hold some are replaced, no others."""
     table = tables.read_table(spark, path, schema)
-    names = keyed.expired(table, as_of).select(F.col("_metadata.file_path").alias("f")).distinct()
-    files = sorted(row.f for row in names.collect())  # names of files, not rows
+    files = files_of(keyed.expired(table, as_of))
     if files:
         old = read_files(spark, path, files, schema)
         replace_files(path, files, keyed.unexpired(old, as_of))

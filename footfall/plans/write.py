@@ -51,6 +51,15 @@ def replace_files(path: str, files: list[str], survivors: DataFrame, *sort: str
     delete_paths(spark, files)
 
 
+def files_of(rows: DataFrame) -> list[str]:
+    """The files that hold these rows of a table: names of files reach the driver, no rows.
+
+    ``DataFrame.inputFiles`` would name the files of all days, whatever the filter.
+    """
+    names = rows.select(F.col("_metadata.file_path").alias("f")).distinct()
+    return sorted(row.f for row in names.collect())
+
+
 def read_files(spark: SparkSession, path: str, files: list[str], schema: T.StructType) -> DataFrame:
     """Just these files of the table at ``path``, with its partition columns."""
     return spark.read.schema(schema).option("basePath", path).parquet(*files)

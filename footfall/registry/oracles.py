@@ -528,7 +528,30 @@ UNION ALL SELECT CAST(max(user_id) AS INTEGER), TIMESTAMP '2030-01-01 00:00:00',
 ORACLES["upsert_with_metadata"] = """
 SELECT event_id, 'last' AS k, CAST(event_id AS VARCHAR) AS n, CAST(2 AS INTEGER) AS size FROM events"""
 
-ORACLES["csv_drop_stored"] = ORACLES["csv_ingest"]
+ORACLES["csv_drop_stored"] = ORACLES["csv_stream_stored"] = ORACLES["csv_ingest"]
+ORACLES["csv_stream_stored_two_quotes"] = ORACLES["csv_ingest_two_quotes"]
+ORACLES["sql_safe_casts"] = ORACLES["safe_casts"]
+
+# --- cleaning jobs --------------------------------------------------------------------------
+
+_CLEANED = _VALIDATED + """
+SELECT CAST(user_id AS INTEGER) AS user_id, created_at, id, type, session_id,
+  CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN '/copy' || url ELSE url END AS url,
+  device_type, event_title, element_id, x, y, TIMESTAMP '2024-01-25 00:00:00' AS loaded_at
+FROM checked WHERE status <> 'INVALID'"""
+ORACLES["stream_clean"] = _CLEANED
+# A batch run looks at rows before its own time only.
+ORACLES["bucketed_state"] = f"""SELECT * EXCLUDE (loaded_at) FROM ({_CLEANED})
+WHERE created_at < TIMESTAMP '2024-01-25 00:00:00'"""
+ORACLES["clean_resweep"] = _VALIDATED + """
+SELECT CAST(user_id AS INTEGER) AS user_id, created_at, id, CAST(count(*) AS BIGINT) AS copies
+FROM checked WHERE status <> 'INVALID' AND created_at < TIMESTAMP '2024-01-25 00:00:00'
+GROUP BY user_id, created_at, id"""
+ORACLES["compact_raw_state"] = _with(_BASE, _RAW) + """
+SELECT CAST(user_id AS INTEGER) AS user_id, created_at, id,
+  CAST(CASE WHEN created_at < TIMESTAMP '2024-01-23 00:00:00' THEN 1 ELSE 2 * count(*) END AS BIGINT) AS copies
+FROM raw WHERE created_at >= TIMESTAMP '2024-01-23 00:00:00' OR user_id IS NULL OR coalesce(id, '') = ''
+GROUP BY user_id, created_at, id"""
 
 # --- stored marts ---------------------------------------------------------------------------
 
@@ -579,3 +602,6 @@ ORACLES["dash_overall_click_ratio"] = _with(_BASE, _ELEMENTS) + f" SELECT {_RATI
 ORACLES["dash_element_click_ratio"] = _with(_BASE, _ELEMENTS) + f"""
 SELECT element_id, {_RATIO} {_VIEWED} GROUP BY element_id
 ORDER BY conversion_rate DESC, element_id LIMIT 20"""
+
+for _name in [n for n in ORACLES if n.startswith("dash_")]:
+    ORACLES[f"sql_{_name}"] = ORACLES[_name]

@@ -10,17 +10,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import schemas
 from ..functions import text, timestamps
 from ..functions.events import duplicate_hash, event_day
+from ..functions.sql import register_sql_functions
 from ..operators import (
     activity, conversion, dashboard, devices, keyed, normalise, pages, sessions, summary, validate,
     visits,
 )
-from ..plans import day_state
+from ..plans import bucketed, cleaning, day_state, panels
 from ..plans.ingest import ingest_csv
-from ..plans.marts import read_mart
+from ..plans.marts import read_mart, run_marts
 from ..plans.write import append_days
 from ..session import shared_path
 from ..sources import tables, testdata
-from ..streaming import counts, ingest
+from ..streaming import cleaning as clean_stream, counts, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -420,8 +421,7 @@ def parse_timestamps(spark, sf):
     )
 
 
-@query
-def safe_casts(spark, sf):
+def _cast_inputs():
     i = F.col("event_id")
     number = i.cast("string")
     whole = (
@@ -436,6 +436,12 @@ def safe_casts(spark, sf):
         .when(i % 4 == 2, "NuLL")
         .otherwise("  ")
     )
+    return whole, words
+
+
+@query
+def safe_casts(spark, sf):
+    whole, words = _cast_inputs()
     return _events(spark, sf).select(
         "event_id",
         text.safe_int(whole, "bigint").alias("as_int"),
@@ -444,6 +450,19 @@ def safe_casts(spark, sf):
     )
 
 
+@query
+def sql_safe_casts(spark, sf):
+    """The casts under their SQL names."""
+    register_sql_functions(spark)
+    whole, words = _cast_inputs()
+    inputs = _events(spark, sf).select("event_id", whole.alias("whole"), words.alias("words"))
+    return spark.sql(
+        "SELECT event_id, safe_whole(whole) AS as_int, safe_number(whole) AS as_double,"
+        " safe_text(words) AS as_string FROM {inputs}",
+        inputs=inputs,
+    )
+
+
 @query
 def stream_ingest_dedup(spark, sf):
     """Every message twice through the streaming decoder and duplicate filter."""
@@ -560,6 +579,116 @@ def csv_drop_stored(spark, sf):
     return _shown_csv(rows.withColumn("reject_reason", F.lit(None).cast("string")))
 
 
+def _stored_by_stream(spark, sf, lines: DataFrame, dialect: str, extension: str) -> DataFrame:
+    """Lines dropped as files in two parts, a stream after each and once more; the raw table it leaves."""
+    home = shared_path(spark, "csv-stream")
+    header = ",".join(schemas.CSV_COLUMNS)
+    as_is = {"header": "true", "sep": "\x01", "quote": "", "escape": "", "emptyValue": "", "extension": extension,
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    for part in (0, 1, None):
+        if part is not None:
+            sent = lines.where(F.pmod("event_id", F.lit(2)) == part).select(F.col("line").alias(header))
+            sent.write.options(**as_is).mode("append").csv(f"{home}/in")
+        rows = ingest.stream_csv_drop(spark, f"{home}/in", dialect, any_name=extension != "csv", archive=f"{home}/archive")
+        run = ingest.start_ingest(rows, f"{home}/raw", f"{home}/dead", f"{home}/checkpoint", "csv", ingest.DRAIN)
+        run.awaitTermination()
+    rows = tables.read_table(spark, f"{home}/raw", tables.RAW_TABLE)
+    return _shown_csv(rows.withColumn("reject_reason", F.lit(None).cast("string")))
+
+
+@query
+def csv_stream_stored(spark, sf):
+    return _stored_by_stream(spark, sf, testdata.csv_lines(_events(spark, sf)), "rfc4180", "csv")
+
+
+@query
+def csv_stream_stored_two_quotes(spark, sf):
+    """The other dialect, in files that are not named .csv."""
+    return _stored_by_stream(spark, sf, testdata.csv_lines(_events(spark, sf)), "two_quotes", "dat")
+
+
+# --- cleaning jobs --------------------------------------------------------------------------
+
+
+def _raw_table(rows: DataFrame, at) -> DataFrame:
+    """Raw rows as the raw table stores them."""
+    stamped = rows.withColumns(
+        {"ingested_at": timestamps.as_time(at), "source": F.lit("topic"), "date": F.to_date("created_at")}
+    )
+    return stamped.select(*(F.col(f.name).cast(f.dataType) for f in tables.RAW_TABLE.fields))
+
+
+def _two_versions(spark, sf) -> DataFrame:
+    """Raw rows; a third of them also in a newer version, which comes before the older one for some.
+
+    ``part`` says in which of four deliveries a row comes.
+    """
+    rows = _raw(spark, sf)
+    copied = F.coalesce(F.col("id").try_cast("bigint") % 3 == 0, F.lit(False))
+    newer = _raw_table(rows.where(copied).withColumn("url", F.concat(F.lit("/copy"), "url")), VALIDATION_TIME)
+    older = _raw_table(rows, F.when(copied, timestamps.as_time(VALIDATION_TIME - timedelta(hours=1)))
+                       .otherwise(timestamps.as_time(VALIDATION_TIME)))
+    slot = F.abs(F.xxhash64("id", "created_at"))
+    return older.withColumn("part", slot % 4).unionByName(newer.withColumn("part", (slot + 1) % 4))
+
+
+_CLEAN_SHOWN = (*schemas.CLEAN_COLUMNS, "loaded_at")
+
+
+@query
+def stream_clean(spark, sf):
+    """The clean state after four deliveries, each cleaned by the stream when it came."""
+    home = shared_path(spark, "stream-clean")
+    paths = cleaning.CleaningPaths(*(f"{home}/{part}" for part in ("raw", "processed", "clean", "invalid")))
+    sent = _two_versions(spark, sf)
+    for part in range(4):
+        append_days(sent.where(F.col("part") == part).drop("part"), paths.raw)
+        raw = clean_stream.stream_raw(spark, paths.raw)
+        clean_stream.start_cleaning(raw, paths, f"{home}/checkpoint", ingest.DRAIN).awaitTermination()
+    clean = tables.read_table(spark, paths.clean, tables.CLEAN_TABLE)
+    return tables.clean_state(clean, VALIDATION_TIME).select(*_CLEAN_SHOWN)
+
+
+@query
+def bucketed_state(spark, sf):
+    """The clean state after two runs over bucketed tables, the second with the newer versions."""
+    home = shared_path(spark, "bucketed")
+    store = bucketed.BucketedTables(f"footfall_{home[-32:]}", home, buckets=8)
+    bucketed.declare(spark, store)
+    sent = _two_versions(spark, sf)
+    is_newer = F.coalesce(F.col("url").startswith("/copy"), F.lit(False))
+    for rows, at in ((~is_newer, VALIDATION_TIME - timedelta(hours=1)), (is_newer, VALIDATION_TIME)):
+        bucketed.append(sent.where(rows), store, "raw")
+        bucketed.clean(spark, store, at, lookback=timedelta(days=400))
+    return bucketed.state(spark, store, VALIDATION_TIME).select(*schemas.CLEAN_COLUMNS)
+
+
+def _swept(spark, sf) -> cleaning.CleaningPaths:
+    """A raw table that got a delivery twice, cleaned after each."""
+    home = shared_path(spark, "swept")
+    paths = cleaning.CleaningPaths(*(f"{home}/{part}" for part in ("raw", "processed", "clean", "invalid")))
+    for _sweep in range(2):
+        append_days(_raw_table(_raw(spark, sf), VALIDATION_TIME), paths.raw)
+        cleaning.clean(spark, paths, VALIDATION_TIME, lookback=timedelta(days=400))
+    return paths
+
+
+@query
+def clean_resweep(spark, sf):
+    """Rows of the clean table, as stored: the second sweep over the same rows adds none."""
+    clean = tables.read_table(spark, _swept(spark, sf).clean, tables.CLEAN_TABLE)
+    return clean.groupBy(*schemas.CLEAN_KEY).agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query
+def compact_raw_state(spark, sf):
+    """What compaction leaves in the raw table: rows no run has taken, and days that are still open."""
+    paths = _swept(spark, sf)
+    cleaning.compact_raw(spark, paths, before=(VALIDATION_TIME - timedelta(days=2)).date())
+    raw = tables.read_table(spark, paths.raw, tables.RAW_TABLE)
+    return raw.groupBy(*schemas.RAW_KEY).agg(F.count(F.lit(1)).alias("copies"))
+
+
 # --- stored marts ---------------------------------------------------------------------------
 
 FIRST_RUN, SECOND_RUN = datetime(2024, 1, 22), datetime(2024, 1, 31)
@@ -610,6 +739,38 @@ def stored_top_pages(spark, sf):
     return _stored_mart(spark, sf, "top_pages_daily")
 
 
+# --- dashboard over stored marts --------------------------------------------------------------
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _stored_marts(spark, sf) -> str:
+    """The folder of all marts of the table, stored by one mart run a session."""
+    known = (spark.sparkContext.applicationId, sf)
+    if known not in _STORED:
+        home = shared_path(spark, "panels")
+        at = timestamps.as_time(datetime(2024, 1, 31))
+        clean = testdata.clean_events(_events(spark, sf)).withColumns(
+            {"date": F.to_date("created_at"), "loaded_at": at, "expires_at": at + F.expr("INTERVAL 365 DAYS")}
+        )
+        append_days(clean.select(*(F.col(f.name).cast(f.dataType) for f in tables.CLEAN_TABLE.fields)), f"{home}/clean")
+        run_marts(spark, f"{home}/clean", f"{home}/marts", datetime(2024, 1, 31), lookback_days=31)
+        _STORED[known] = f"{home}/marts"
+    return _STORED[known]
+
+
+def _panel_query(name: str) -> Query:
+    def run(spark, sf):
+        return panels.panel(spark, _stored_marts(spark, sf), name, TODAY)
+
+    run.__name__ = f"sql_dash_{name}"
+    return run
+
+
+for _name in panels.PANELS:
+    query(_panel_query(_name))
+
+
 # --- dashboard ------------------------------------------------------------------------------
 
 

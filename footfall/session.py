@@ -89,6 +89,12 @@ def delete_paths(spark: SparkSession, paths: list[str]) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """An empty folder on whatever file system it is, if there is none yet."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)
+
+
 @cache
 def _packed() -> str:
     """This package as a zip file, made once per driver process."""

@@ -53,14 +53,18 @@ def _limited(reader: DataStreamReader, files_per_batch: int | None) -> DataStrea
 
 def stream_csv_drop(
     spark: SparkSession, drop: str, dialect: str = "rfc4180", files_per_batch: int | None = None,
-    any_name: bool = False,
+    any_name: bool = False, archive: str | None = None,
 ) -> DataFrame:
     """CSV files of a drop folder; each is read once, when it turns up, with the time it was written.
 
     A folder whose files are not named .csv is read with ``any_name``: all files then count but those
-    of kinds that are never CSV.
+    of kinds that are never CSV. With an ``archive``, a folder outside the drop, files move there once
+    their batch is committed, which the stream notes with the batch after: the folder empties itself
+    and holds the files of the last batch until more arrive.
     """
     reader = _limited(spark.readStream.option("recursiveFileLookup", "true"), files_per_batch)
+    if archive is not None:
+        reader = reader.options(cleanSource="archive", sourceArchiveDir=archive)
     return files.csv_rows(reader, drop, dialect, named_csv=not any_name)
 
 

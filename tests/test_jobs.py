@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from footfall import schemas
 from footfall.functions.timestamps import as_time
 from footfall.operators import dashboard, keyed, normalise
-from footfall.plans import cleaning, ingest, marts, write
+from footfall.plans import bucketed, cleaning, ingest, marts, write
 from footfall.session import shared_dir
 from footfall.sources import files, tables, testdata
-from footfall.streaming import ingest as streams
+from footfall.streaming import cleaning as clean_stream, ingest as streams
 
 DAY = datetime(2024, 1, 25)
 NOW = DAY.replace(hour=12)
@@ -380,3 +380,75 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_a_run_without_rows_reports_zeros(spark, paths):
+    land_messages(spark, paths, [message(1)])
+    report = cleaning.clean(spark, paths, NOW - timedelta(days=9)).collect()
+    assert [r.sink for r in report] == ["clean", "invalid", "deletion", "overall"]
+    assert all(r.total == r.loaded == r.failed == r.success_rate == 0 for r in report)
+
+
+def test_compaction_leaves_the_files_of_open_days(spark, paths):
+    land_messages(spark, paths, [message(1), message(2, hours=48)])
+    cleaning.clean(spark, paths, NOW, lookback=timedelta(days=9))
+    today = write.files_of(table(spark, paths.raw, tables.RAW_TABLE).where(f"date = '{DAY.date()}'"))
+    cleaning.compact_raw(spark, paths, before=DAY.date())
+    left = table(spark, paths.raw, tables.RAW_TABLE)
+    assert [r.id for r in left.collect()] == ["e1"] and write.files_of(left) == today
+    listed = table(spark, paths.processed, tables.PROCESSED_TABLE)
+    assert [r.id for r in listed.collect()] == ["e1"]
+
+
+def test_cleaning_stream_prefers_the_newer_version_whenever_it_comes(spark, tmp_path, paths):
+    """Late rows are cleaned when they come, and an older version that comes last changes nothing."""
+    deliveries = [
+        [(message(1, url="/new"), NOW), (message(2, payload=None), NOW)],
+        [(message(1, url="/old", receivedAt=(NOW - timedelta(hours=1)).isoformat()), NOW - timedelta(minutes=30)), (message(3, hours=24 * 300), NOW)],
+        [],
+    ]
+    for delivery in deliveries:
+        for body, at in delivery:
+            land_messages(spark, paths, [body], at)
+        run = clean_stream.start_cleaning(
+            clean_stream.stream_raw(spark, paths.raw, files_per_batch=1), paths, str(tmp_path / "cp"), streams.DRAIN
+        )
+        run.awaitTermination()
+    state = tables.clean_state(table(spark, paths.clean, tables.CLEAN_TABLE), NOW)
+    assert sorted((r.id, r.url) for r in state.collect()) == [("e1", "/new"), ("e3", "/p1")]
+    assert table(spark, paths.clean, tables.CLEAN_TABLE).count() == 3
+    invalid = table(spark, paths.invalid, tables.INVALID_TABLE)
+    assert [r.id for r in invalid.collect()] == ["e2"]
+
+
+def test_bucketed_tables_survive_their_catalog(spark, tmp_path):
+    """Another session declares the tables over the folder and finds the rows; a run there adds none."""
+    stamped = normalise.accepted(
+        normalise.raw_from_messages(spark.createDataFrame([(json.dumps(message(i)),) for i in range(20)], "value string"), NOW)
+    ).withColumns({"ingested_at": as_time(NOW), "source": F.lit("topic"), "date": F.to_date("created_at")})
+    states = []
+    for name in ("first", "second"):
+        store = bucketed.BucketedTables(name, str(tmp_path / "b"), buckets=4)
+        bucketed.declare(spark, store)
+        if name == "first":
+            bucketed.append(stamped, store, "raw")
+        bucketed.clean(spark, store, NOW)
+        states.append((bucketed.state(spark, store, NOW).count(), bucketed.read(spark, store, "clean").count()))
+        bucketed.drop(spark, store)
+    assert states == [(20, 20), (20, 20)]
+
+
+def test_drop_folder_empties_into_the_archive(spark, tmp_path):
+    lines = testdata.csv_lines(testdata.load_events(spark, "/root/testdata/sf0.001").limit(40)).collect()
+    home, header = tmp_path / "drop", ",".join(schemas.CSV_COLUMNS)
+    home.mkdir()
+    for part in range(3):
+        if part < 2:
+            (home / f"{part}.csv").write_text("\n".join([header] + [r.line for r in lines[part::2]]))
+        rows = streams.stream_csv_drop(spark, str(home), archive=str(tmp_path / "old" / "archive"))
+        streams.start_ingest(rows, str(tmp_path / "raw"), str(tmp_path / "dead"), str(tmp_path / "cp"), "csv",
+                             streams.DRAIN).awaitTermination()
+    landed = spark.read.parquet(str(tmp_path / "raw")).count() + spark.read.parquet(str(tmp_path / "dead")).count()
+    assert landed == 40
+    assert [f.name for f in home.glob("*.csv")] == ["1.csv"]
+    assert [f.name for f in (tmp_path / "old" / "archive").rglob("*.csv")] == ["0.csv"]

@@ -5,6 +5,9 @@ import re
 
 import pytest
 
+from footfall import schemas
+from footfall.operators import keyed
+from footfall.plans import bucketed, cleaning
 from footfall.registry.queries import REGISTRY
 
 PACKAGE = pathlib.Path(__file__).resolve().parent.parent / "footfall"
@@ -69,5 +72,24 @@ def test_code_uses_no_local_checkpoint_broadcast_hint_or_udf():
     code = "\n".join(path.read_text() for path in core)
     for forbidden in ("localCheckpoint", "broadcast(", "crossJoin", "toPandas", ".rdd", "udf("):
         assert forbidden not in code
-    # Only days of a table, names of files to replace and the four lines of a report come to the driver.
-    assert code.count(".collect()") == 3
+    # Only days of a table and names of files to replace come to the driver.
+    assert code.count(".collect()") == 2
+
+
+def test_load_report_expands_no_rows(spark, sf_dir):
+    assert "Expand" not in plan_of(REGISTRY["load_report"](spark, sf_dir))
+
+
+def test_bucketed_state_and_anti_join_need_no_shuffle(spark, tmp_path):
+    store = bucketed.BucketedTables("plan_test", str(tmp_path), buckets=4)
+    bucketed.declare(spark, store)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw, done = (bucketed.read(spark, store, part) for part in ("raw", "processed"))
+        plans = [plan_of(bucketed.state(spark, store, "2024-01-25")),
+                 plan_of(keyed.last_write_wins(cleaning.unprocessed(raw, done), schemas.RAW_KEY))]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        bucketed.drop(spark, store)
+    for plan in plans:
+        assert "Exchange" not in plan and "Bucketed: true" in plan

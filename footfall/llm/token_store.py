@@ -49,7 +49,7 @@ def pack(values: np.ndarray, percentile: int = 90, block: int = BLOCK) -> bytes:
     rows = rows.reshape(n_blocks, block)
     low = rows.min(axis=1) if n_blocks else np.zeros(0, np.uint32)
     rest = rows - low[:, None]
-    bits = np.ceil(np.log2(rest.astype(np.float64) + 1)).astype(np.uint8)
+    bits = np.frexp(rest.astype(np.float64))[1].astype(np.uint8)  # bit lengths
     rank = min(block - 1, block * percentile // 100)
     width = np.partition(bits, rank, axis=1)[:, rank] if n_blocks else np.zeros(0, np.uint8)
     odd = bits > width[:, None]
@@ -66,9 +66,11 @@ def pack(values: np.ndarray, percentile: int = 90, block: int = BLOCK) -> bytes:
         chosen = np.flatnonzero(width == w)
         place[chosen] = np.arange(len(chosen))
         planes = np.empty((len(chosen), w, plane), np.uint8)
-        part = rest[chosen]
-        for b in range(w):
-            planes[:, b] = np.packbits(((part >> np.uint32(b)) & np.uint32(1)).astype(np.uint8), axis=1)
+        bytes_of = np.moveaxis(rest[chosen].astype("<u4").view(np.uint8).reshape(len(chosen), block, 4), 2, 0)
+        for at_byte in range(-(-w // 8)):
+            part = np.ascontiguousarray(bytes_of[at_byte])
+            for b in range(8 * at_byte, min(w, 8 * at_byte + 8)):
+                planes[:, b] = np.packbits(part & np.uint8(1 << b % 8), axis=1)  # what is not 0 is a 1
         packed[w] = planes.reshape(len(chosen), w * plane)
     sizes = 6 + width.astype(np.int64) * plane + 5 * n_odd
     starts = np.concatenate(([0], np.cumsum(sizes)[:-1])) if n_blocks else np.zeros(0)
@@ -127,46 +129,78 @@ class PieceEncoder:
     white space, and around single line ends, so chunks cut there are encoded as they are within the
     text. The library encodes each distinct chunk; whatever the cut could change goes to it whole, and
     so do texts with the string of a special token.
+
+    ``plain`` holds chunks that are one line end, or a word with at most one space before it and no
+    special string inside. A text of these alone, with no longer run of line ends, needs no look at
+    its white space.
     """
 
     def __init__(self, path: str) -> None:
         self.library = tokenizers.Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-
+        #: Special strings that a cut into chunks could hide.
+        self.cut_special = [t for t in self.special if any(c in t for c in " \n\0") or not t]
         line_end = self._encode("\n")
         self.line_end = int(line_end[0]) if len(line_end) == 1 else None
+        self.plain: dict[str, bytes] = {}
+        self.others: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _are_plain(self, chunks: list[str], joined: str) -> bool:
+        """Whether all chunks, joined by line ends, are words with at most one space before each."""
+        words = joined.split()
+        blanks = len(joined) - sum(map(len, words))
+        even = len(words) == len(chunks) and blanks == joined.count(" ") + len(chunks) - 1
+        return even and not any(t in joined for t in self.special)
+
+    def _learn(self, new: set[str], with_others: bool) -> None:
         """Encode new chunks: plain ones in one text with line ends between, all others one by one."""
-        plain = [c for c in chunks if self.line_end is not None and PLAIN_CHUNK.fullmatch(c)]
-        if plain:
-            ids = self._encode("\n".join(plain))
+        if len(self.plain) + len(self.others) > CACHED_CHUNKS:
+            self.plain = dict(islice(self.plain.items(), KEPT_CHUNKS))
+            self.others = {}
+        plain = self.plain
+        plain[""] = b""
+        if "\n" in new:
+            plain["\n"] = self._encode("\n").tobytes()
+        words = [c for c in new if c and c != "\n"]
+        joined = "\n".join(words)
+        if not self._are_plain(words, joined):
+            words = [c for c in words if PLAIN_CHUNK.fullmatch(c) and not any(t in c for t in self.special)]
+            joined = "\n".join(words)
+        if words and self.line_end is not None:
+            ids = self._encode(joined)
             ends = np.flatnonzero(ids == self.line_end)
-            if len(ends) == len(plain) - 1:
-                bounds = [0, *(ends + 1).tolist(), len(ids) + 1]
-                self.known.update((c, ids[a : b - 1].tobytes()) for c, a, b in zip(plain, bounds, bounds[1:]))
-        for c in chunks:
-            if c not in self.known:
-                self.known[c] = self._encode(c).tobytes()
+            if len(ends) == len(words) - 1:
+                data = ids.tobytes()
+                stops = (4 * ends).tolist()
+                for c, start, stop in zip(words, [0, *(x + 4 for x in stops)], [*stops, len(data)], strict=True):
+                    plain[c] = data[start:stop]
+        for c in new if with_others else ():
+            if c not in plain and c not in self.others:
+                self.others[c] = self._encode(c).tobytes()
 
     def ids(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
+        whole = "\0" in text or any(t in text for t in self.cut_special)
         chunks = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        plain = "" not in chunks and " " not in chunks and len(text.split()) == len(chunks) - chunks.count("\n")
-        if "\0" in text or not plain and UNEVEN.search(text) or any(t in text for t in self.special):
+        if not whole and "\n\n" not in text:
+            found = list(map(self.plain.get, chunks))
+            if None not in found:
+                return b"".join(found)
+            missing = [i for i, ids in enumerate(found) if ids is None]
+            self._learn({chunks[i] for i in missing}, with_others=False)
+            for i in missing:
+                found[i] = self.plain.get(chunks[i])
+            if None not in found:
+                return b"".join(found)
+        if whole or UNEVEN.search(text) or any(t in text for t in self.special):
             return self._encode(text).tobytes()
-        known = self.known
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            if len(known) > CACHED_CHUNKS:
-                self.known = known = dict(islice(known.items(), KEPT_CHUNKS))
-            self._learn({c for c in chunks if c not in known})
-            return b"".join([known[c] for c in chunks])
+        new = {c for c in chunks if c not in self.plain and c not in self.others}
+        if new:
+            self._learn({c for c in chunks} if len(self.plain) + len(self.others) > CACHED_CHUNKS else new, with_others=True)
+        return b"".join([self.plain[c] if c in self.plain else self.others[c] for c in chunks])
 
 
 def encoder(path: str) -> PieceEncoder:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -42,9 +43,24 @@ def row_key(*columns: str) -> list[Column]:
 def map_batches(
     df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` with this package at hand on the executors."""
+    """``mapInArrow`` with this package at hand on the executors; a task's memory is given back when it ends."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(task, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            give_back_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back_memory() -> None:
+    """Return what Arrow and the C library hold unused: a Python worker outlives its task and waits for the next stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def join_few(big: DataFrame, few: DataFrame, on: list[str], n_few: int, how: str = "inner") -> DataFrame:

@@ -525,6 +525,16 @@ ORACLES["stream_late_rows"] = """
 SELECT CAST(user_id AS INTEGER) AS user_id, ts AS created_at, CAST(event_id AS VARCHAR) AS id FROM events
 UNION ALL SELECT CAST(max(user_id) AS INTEGER), TIMESTAMP '2030-01-01 00:00:00', 'ahead' FROM events"""
 
+ORACLES["stream_kept_repeats"] = """
+SELECT CAST(user_id AS INTEGER) AS user_id, ts AS created_at, CAST(event_id AS VARCHAR) AS id,
+  DATE '2024-01-25' + CAST(event_id % 2 * 10 AS INTEGER) AS arrived_on
+FROM events"""
+
+ORACLES["stream_repeats_report"] = """
+SELECT CAST(user_id AS INTEGER) AS user_id, count(*) AS held, CAST(0 AS BIGINT) AS dropped_0,
+  CAST(0 AS BIGINT) AS dropped_1, (SELECT count(*) FROM events) AS dropped_2
+FROM events GROUP BY user_id"""
+
 ORACLES["upsert_with_metadata"] = """
 SELECT event_id, 'last' AS k, CAST(event_id AS VARCHAR) AS n, CAST(2 AS INTEGER) AS size FROM events"""
 

@@ -21,7 +21,7 @@ from ..plans.marts import read_mart, run_marts
 from ..plans.write import append_days
 from ..session import shared_path
 from ..sources import tables, testdata
-from ..streaming import cleaning as clean_stream, counts, ingest
+from ..streaming import cleaning as clean_stream, counts, ingest, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -512,6 +512,43 @@ def stream_late_rows(spark, sf):
     return spark.read.schema(schema).parquet(target)
 
 
+def _repeats_weeks_apart(spark, sf):
+    """Three runs, ten days apart: even events, then odd ones, then all again. Rows let through, repeats dropped, checkpoint."""
+    rows = _events(spark, sf).select(
+        F.col("user_id").cast("int").alias("user_id"), F.col("ts").alias("created_at"),
+        F.col("event_id").cast("string").alias("id"), F.pmod("event_id", F.lit(2)).alias("run"),
+    )
+    sent = rows.unionByName(rows.withColumn("run", F.lit(2)))
+    sent = sent.withColumn("arrived_at", F.timestamp_seconds(F.unix_seconds(F.lit(VALIDATION_TIME).cast("timestamp")) + F.col("run") * 864_000))
+    folder, target, checkpoint = (shared_path(spark, f"repeats-{part}") for part in ("in", "out", "checkpoint"))
+    schema = sent.drop("run").schema
+    dropped = []
+    for number in range(3):
+        sent.where(F.col("run") == number).drop("run").write.mode("append").parquet(folder)
+        run = repeats.start_first_arrivals(
+            spark.readStream.schema(schema).parquet(folder), target, checkpoint, "arrived_at", ingest.DRAIN
+        )
+        run.awaitTermination()
+        dropped.append(repeats.dropped_repeats(run))
+    return spark.read.schema(schema).parquet(target), dropped, checkpoint
+
+
+@query
+def stream_kept_repeats(spark, sf):
+    """Repeats that come weeks later don't pass; each row has the run that let it through."""
+    passed, _, _ = _repeats_weeks_apart(spark, sf)
+    day = F.to_date("arrived_at").alias("arrived_on")
+    return passed.select("user_id", "created_at", "id", day)
+
+
+@query
+def stream_repeats_report(spark, sf):
+    """Keys held in the state of the stream and rows each of its runs dropped."""
+    _, dropped, checkpoint = _repeats_weeks_apart(spark, sf)
+    held = repeats.held_keys(spark, checkpoint).groupBy("user_id").agg(F.count(F.lit(1)).alias("held"))
+    return held.select("user_id", "held", *(F.lit(n).cast("long").alias(f"dropped_{i}") for i, n in enumerate(dropped)))
+
+
 def _topic_in_parts(spark, sf, landed: str, parts: int = 4):
     """Messages of the events, a part at a time, through the topic stream; yields after each part."""
     messages = testdata.json_messages(_events(spark, sf).withColumn("part", F.pmod("event_id", F.lit(parts))), keep=("part",))

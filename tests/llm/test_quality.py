@@ -85,3 +85,22 @@ def test_every_named_language_has_its_reference(spark):
         judged = {r.doc_id: r.kept for r in q.judge_quality(docs, refs=refs).collect()}
         assert all(judged[i] for i in judged if 100 <= i < 300), limit
         assert not judged[300] and not judged[301]
+
+
+def test_no_language_is_one_too_many(spark, monkeypatch):
+    """Junk that names the rarest of 70 languages goes, and blocks of references judge as all of them at once do."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for lang in range(70):
+        rng = random.Random(lang)
+        words = ["".join(rng.choices(letters, k=rng.randint(2, 6))) for _ in range(40)]
+        texts = 3 if lang < 69 else 2
+        rows += [(1000 * lang + i, " ".join(rng.choices(words, k=150)) + ".", f"l{lang:02}") for i in range(texts)]
+    junk = " ".join("".join(random.Random(i).choices(letters, k=5)) for i in range(150))
+    rows += [(99_000, "### $$$ ||| " + junk.replace(" ", " ||| "), "l69"), (99_001, junk, "zz"), (99_002, "x " * 40, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    at_once = {tuple(r) for r in q.judge_quality(docs).collect()}
+    kept = {r[0]: r[-1] for r in at_once}
+    assert not kept[99_000] and all(kept[i] for i in kept if i < 99_000)
+    monkeypatch.setattr(q, "LANGUAGES_AT_ONCE", 9)
+    assert {tuple(r) for r in q.judge_quality(docs).collect()} == at_once

@@ -16,8 +16,14 @@ from .write import replace_days
 LOOKBACK_DAYS = 10  # fixed value: days one run reports on
 
 
-def compute_marts(events: DataFrame, visited: DataFrame, first_day: date) -> dict[str, DataFrame]:
-    """All marts from an analysis frame and its visits, both of which may start before ``first_day``.
+#: Marts made of visits; the others are made of the events.
+FROM_VISITS = ("user_activity_daily", "session_metrics_daily", "device_distribution_daily")
+
+
+def compute_marts(
+    events: DataFrame, visited: DataFrame, first_day: date, only: tuple[str, ...] = tuple(schemas.MARTS)
+) -> dict[str, DataFrame]:
+    """Marts from an analysis frame and its visits, both of which may start before ``first_day``.
 
     Earlier days serve as warm-up of the trailing windows and complete the sessions that cross
     midnight; no row of theirs is emitted.
@@ -28,7 +34,7 @@ def compute_marts(events: DataFrame, visited: DataFrame, first_day: date) -> dic
         return activity.since(mart, first_day)
 
     session_rows = sessions.session_rollup(visited)
-    return {
+    marts = {
         "user_activity_daily": emitted(
             activity.user_activity_daily(visited.select("date", "user_id").distinct())
         ),
@@ -37,6 +43,7 @@ def compute_marts(events: DataFrame, visited: DataFrame, first_day: date) -> dic
         "device_distribution_daily": devices.device_distribution_daily(emitted(visited)),
         "top_pages_daily": pages.top_pages_daily(pages.page_days(pages.page_visitors(recent))),
     }
+    return {name: mart for name, mart in marts.items() if name in only}
 
 
 def run_marts(
@@ -46,11 +53,12 @@ def run_marts(
     as_of: datetime,
     lookback_days: int = LOOKBACK_DAYS,
     warmup_days: int = activity.WARMUP_DAYS,
+    only: tuple[str, ...] = tuple(schemas.MARTS),
 ) -> None:
     """Compute the marts of the last days and replace these days in the mart tables.
 
     The state of the clean table (one row per key) and the visits are each written once to the
-    shared folder; five marts then read columns of those copies. All days of the range are replaced,
+    shared folder if several marts read them; the marts then read columns of those copies. All days of the range are replaced,
     also those that now have no rows; it starts at midnight, since a half first day must not
     overwrite the full one of an earlier run.
     """
@@ -60,10 +68,15 @@ def run_marts(
     in_range = tables.time_range(table, low, as_of, closed=True)
     days = [first_day + timedelta(days=i) for i in range((as_of.date() - first_day).days + 1)]
     with staging(spark) as stage:
-        events = stage(tables.analysis_frame(tables.clean_state(in_range, as_of)), "clean-state")
-        visited = stage(visits.visit_rollup(events), "visits")
-
-        for name, mart in compute_marts(events, visited, first_day).items():
+        events = tables.analysis_frame(tables.clean_state(in_range, as_of))
+        n_of_visits = len(set(only) & set(FROM_VISITS))
+        if len(only) > 1 and n_of_visits < len(only):
+            events = stage(events, "clean-state")
+        visited = visits.visit_rollup(events)
+        if n_of_visits:
+            visited = stage(visited, "visits")
+
+        for name, mart in compute_marts(events, visited, first_day, only).items():
             columns = schemas.MARTS[name].names
             stamped = mart.select(*columns, as_time(as_of).alias("calculation_timestamp"))
             if name == "element_conversion":

@@ -4,8 +4,10 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from footfall import schemas
 from footfall.operators import activity
 from footfall.plans import day_state
+from footfall.plans.marts import read_mart, run_marts
 from footfall.plans.write import append_days
 from footfall.sources import tables
 from footfall.streaming import counts, ingest
@@ -77,3 +79,16 @@ def test_ledger_and_counts(spark, tmp_path):
     written = spark.read.schema(counts.LEDGER).parquet(f"{home}/ledger").count()
     assert counts.is_written(spark, f"{home}/ledger", "t", 0) and written == len({(r.source, r.batch_id) for r in spark.read.parquet(f"{home}/ledger").collect()})
     assert not counts.is_written(spark, f"{home}/none", "t", 0)
+
+
+def test_a_mart_run_of_one_mart_computes_no_other(spark, tmp_path):
+    """``only`` stores that mart with the rows a run of all marts gives it, whatever it is made of."""
+    clean = f"{tmp_path}/clean"
+    rows = [(u, LOADED - timedelta(hours=7 * i), f"{u}-{i}") for u in (1, 2, 3) for i in range(1, 9)]
+    append_days(_clean(spark, rows, LOADED).withColumn("type", F.lit("VIEW")), clean)
+    run_marts(spark, clean, f"{tmp_path}/all", LOADED)
+    for name in schemas.MARTS:
+        run_marts(spark, clean, f"{tmp_path}/{name}", LOADED, only=(name,))
+        assert [p.name for p in (tmp_path / name).iterdir()] == [name]
+        one, every = (read_mart(spark, f"{tmp_path}/{home}", name) for home in (name, "all"))
+        assert one.count() and sorted(map(str, one.collect())) == sorted(map(str, every.collect())), name

@@ -43,7 +43,8 @@ STATES = {
     "pages": _stored(url=S, user_id=I, session_id=S, views=L, clicks=L),
     "elements": _stored(element_id=S, views=L, clicks=L, sum_x=L, n_x=L, sum_y=L, n_y=L),
 }
-REFRESHES = T.StructType([T.StructField("loaded_to", TS)])
+#: Load time a state is brought up to; a row without ``state`` stands for all of them.
+REFRESHES = T.StructType([T.StructField("loaded_to", TS), T.StructField("state", S)])
 
 
 def user_bitmaps(events: DataFrame) -> DataFrame:
@@ -80,30 +81,42 @@ _BUILD = {
     "pages": pages.page_visitors,
     "elements": element_sums,
 }
+#: The state a mart follows from.
+_MADE_OF = {
+    "user_activity_daily": "users", "element_conversion": "elements", "session_metrics_daily": "visits",
+    "device_distribution_daily": "visits", "top_pages_daily": "pages",
+}
 
 
-def refresh(spark: SparkSession, clean_path: str, state_path: str, as_of: datetime) -> list[date]:
-    """Bring the state up to the clean table; returns the days whose state was replaced.
+def refresh(
+    spark: SparkSession, clean_path: str, state_path: str, as_of: datetime, states: tuple[str, ...] = tuple(_BUILD)
+) -> list[date]:
+    """Bring ``states`` up to the clean table; returns the days whose state was replaced.
 
-    Days with rows loaded since the last refresh are read, whole, and no others. The refresh is
-    recorded last: one that dies is repeated over the same days.
+    Days with rows loaded since the last refresh of the one that lags most are read, whole, and no
+    others. The refresh is recorded last: one that dies is repeated over the same days.
     """
     clean = tables.read_table(spark, clean_path, tables.CLEAN_TABLE)
     known = tables.read_table(spark, f"{state_path}/refreshes", REFRESHES, may_be_absent=True)
-    last = known.agg(F.max("loaded_to")).first()[0]
+    newest = [F.max(F.when(F.coalesce("state", F.lit(name)) == name, F.col("loaded_to"))) for name in states]
+    reached = tuple(known.agg(*newest).first())
+    last = None if None in reached else min(reached)
     news = clean if last is None else clean.where(F.col("loaded_at") >= as_time(last))
     days = distinct_days(news)
     if not days:
         return []
     touched = clean.where(F.col("date").isin(*days))
     with staging(spark) as stage:
-        events = stage(tables.analysis_frame(tables.clean_state(touched, as_of)), "touched-days")
-        for name, build in _BUILD.items():
+        events = tables.analysis_frame(tables.clean_state(touched, as_of))
+        if len(states) > 1:
+            events = stage(events, "touched-days")
+        for name in states:
             schema = STATES[name]
-            rows = build(events).select(*(F.col(f.name).cast(f.dataType) for f in schema.fields))
+            rows = _BUILD[name](events).select(*(F.col(f.name).cast(f.dataType) for f in schema.fields))
             # few rows a day; read twice only to empty days that have none left
             replace_days(stage(rows, f"state-{name}"), f"{state_path}/{name}", days=days)
         newest = touched.agg(F.max("loaded_at").alias("loaded_to"))
+        newest = newest.withColumn("state", F.explode(F.array(*map(F.lit, states))))
         newest.write.mode("append").parquet(f"{state_path}/refreshes")
     return days
 
@@ -156,41 +169,43 @@ def elements_from_sums(sums: DataFrame) -> DataFrame:
     )
 
 
-def marts_from_state(spark: SparkSession, state_path: str, first_day: date, last_day: date) -> dict[str, DataFrame]:
-    """The five marts of the days from ``first_day`` to ``last_day``, from stored state alone."""
+def marts_from_state(
+    spark: SparkSession, state_path: str, first_day: date, last_day: date, only: tuple[str, ...] = tuple(schemas.MARTS)
+) -> dict[str, DataFrame]:
+    """The marts of the days from ``first_day`` to ``last_day``, from stored state alone."""
     warm = first_day - timedelta(days=activity.WARMUP_DAYS)
 
     def state(name: str, low: date) -> DataFrame:
         table = tables.read_table(spark, f"{state_path}/{name}", STATES[name])
         return table.where(F.col("date").between(F.lit(str(low)).cast("date"), F.lit(str(last_day)).cast("date")))
 
-    session_rows = sessions.session_rollup(state("visits", warm))
-    return {
-        "user_activity_daily": activity_from_bitmaps(state("users", warm), first_day),
-        "element_conversion": elements_from_sums(state("elements", first_day)),
-        "session_metrics_daily": sessions.session_metrics_daily(activity.since(session_rows, first_day)),
-        "device_distribution_daily": devices.device_distribution_daily(state("visits", first_day)),
-        "top_pages_daily": pages.top_pages_daily(pages.page_days(state("pages", first_day))),
+    marts = {
+        "user_activity_daily": lambda: activity_from_bitmaps(state("users", warm), first_day),
+        "element_conversion": lambda: elements_from_sums(state("elements", first_day)),
+        "session_metrics_daily": lambda: sessions.session_metrics_daily(
+            activity.since(sessions.session_rollup(state("visits", warm)), first_day)
+        ),
+        "device_distribution_daily": lambda: devices.device_distribution_daily(state("visits", first_day)),
+        "top_pages_daily": lambda: pages.top_pages_daily(pages.page_days(state("pages", first_day))),
     }
+    return {name: mart() for name, mart in marts.items() if name in only}
 
 
 def run_marts_from_state(
     spark: SparkSession, clean_path: str, state_path: str, marts_path: str, as_of: datetime,
     lookback_days: int = LOOKBACK_DAYS, only: tuple[str, ...] = tuple(schemas.MARTS),
 ) -> list[date]:
-    """Refresh the state, then replace the days of the range in the mart tables.
+    """Refresh the states of the marts, then replace the days of the range in the mart tables.
 
     Same tables and rows as ``marts.run_marts`` writes for whole days; the events read are those of
     days with news, which are returned.
     """
-    days = refresh(spark, clean_path, state_path, as_of)
+    days = refresh(spark, clean_path, state_path, as_of, tuple(dict.fromkeys(_MADE_OF[name] for name in only)))
     last_day = as_of.date()
     first_day = last_day - timedelta(days=lookback_days)
     in_range = [first_day + timedelta(days=i) for i in range(lookback_days + 1)]
     with staging(spark) as stage:
-        for name, mart in marts_from_state(spark, state_path, first_day, last_day).items():
-            if name not in only:
-                continue
+        for name, mart in marts_from_state(spark, state_path, first_day, last_day, only).items():
             stamped = mart.select(*schemas.MARTS[name].names, as_time(as_of).alias("calculation_timestamp"))
             if name == "element_conversion":
                 stamped = stamped.withColumn("run_date", F.lit(str(last_day)).cast("date"))

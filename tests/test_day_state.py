@@ -92,3 +92,19 @@ def test_a_mart_run_of_one_mart_computes_no_other(spark, tmp_path):
         assert [p.name for p in (tmp_path / name).iterdir()] == [name]
         one, every = (read_mart(spark, f"{tmp_path}/{home}", name) for home in (name, "all"))
         assert one.count() and sorted(map(str, one.collect())) == sorted(map(str, every.collect())), name
+
+
+def test_a_mart_brings_only_its_state_up(spark, tmp_path):
+    """A run of one mart stores its state alone; a later run of all marts makes up for the others."""
+    clean, state, marts = (str(tmp_path / n) for n in ("clean", "state", "marts"))
+    append_days(_clean(spark, [(1, LOADED - timedelta(days=3), "a"), (2, LOADED - timedelta(days=2), "b")], LOADED), clean)
+    day_state.run_marts_from_state(spark, clean, state, marts, LOADED, only=("session_metrics_daily",))
+    assert sorted(p.name for p in (tmp_path / "state").iterdir()) == ["refreshes", "visits"]
+    assert [p.name for p in (tmp_path / "marts").iterdir()] == ["session_metrics_daily"]
+    later = LOADED + timedelta(days=1)
+    append_days(_clean(spark, [(3, LOADED - timedelta(days=2), "c")], later), clean)
+    assert day_state.run_marts_from_state(spark, clean, state, marts, later) == [date(2024, 3, 2), date(2024, 3, 3)]
+    run_marts(spark, clean, f"{tmp_path}/whole", later)
+    for name in schemas.MARTS:
+        one, other = (read_mart(spark, home, name) for home in (marts, f"{tmp_path}/whole"))
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect())), name

@@ -10,17 +10,21 @@ at these places into words. Equal words are searched once and remembered. A text
 of its words; the next ones differ from it in the words whose second path costs least, and the
 difference of the second path is known from the forward scores alone (the cheapest edge beside the
 best path), so A* runs only in words that can be among the N best.
+
+Texts are taken some at a time, and the words in them that are not remembered are searched forward
+side by side, place by place, with the pieces found in a trie of arrays.
 """
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import islice
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -35,10 +39,85 @@ MARK = "▁"
 PLACEHOLDER = -1e8
 #: What a worker remembers of words and of their further paths, in bytes; longer words are not remembered.
 WORD_BYTES, PATH_BYTES, LONGEST = 48 << 20, 16 << 20, 200
-NONE = -float("inf")
+#: Characters of the texts whose words are searched together, and of the words in one set of arrays.
+TOGETHER, IN_ARRAYS = 1 << 18, 1 << 14
 _models: dict[str, PieceModel] = {}
 
 
+class PieceTrie:
+    """Forward Viterbi over many words at once, every character of which is a piece."""
+
+    def __init__(self, pieces: dict[str, tuple[float, int]]) -> None:
+        nodes = {"": 0}
+        for p in pieces:
+            for k in range(1, len(p) + 1):
+                nodes.setdefault(p[:k], len(nodes))
+        letters = sorted({p[-1] for p in nodes if p})
+        self.longest = max(map(len, nodes))
+        self.size = len(letters) + 1
+        #: Number of each character, 0 if no piece has it.
+        self.number = np.zeros(0x110000, np.uint16 if self.size < 1 << 16 else np.uint32)
+        self.number[[ord(c) for c in letters]] = np.arange(1, self.size)
+        steps = sorted((nodes[p[:-1]] * self.size + int(self.number[ord(p[-1])]), i) for p, i in nodes.items() if p)
+        steps.append((np.iinfo(np.int64).max, 0))
+        self.step, self.to = (np.array(x, np.int64) for x in zip(*steps, strict=True))
+        self.first = np.array([nodes.get(p, 0) for p in ["", *letters]], np.int64)
+        #: Score and id of the piece that ends at a node; no score at what is only the beginning of pieces.
+        self.weight, self.piece = np.full(len(nodes), -np.inf), np.zeros(len(nodes), np.int32)
+        for p, (weight, i) in pieces.items():
+            self.weight[nodes[p]], self.piece[nodes[p]] = weight, i
+
+    def best(self, words: list[str]) -> tuple[list[float], np.ndarray, list[int], list[float]]:
+        """Score of each word's best path, the ids of all one after the other, where each ends, what the second falls short by.
+
+        The words come longest first. Arrays go by place, and inside a place by word, so those still
+        running are the first ones of each place.
+        """
+        n, sizes = len(words), np.array([len(w) for w in words])
+        running = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")  # words of more characters than the place
+        begin = np.cumsum(running) - running
+        word = np.repeat(np.arange(n), sizes)
+        place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        cells = begin[place] + word
+        letters = np.zeros(len(word) + 1, np.int64)
+        letters[cells] = self.number[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")]
+        after = np.full(len(word) + 1, len(word))  # the cell of a word's next character; behind its last one a cell without letter
+        after[cells[:-1]] = np.where(word[1:] == word[:-1], cells[1:], len(word))
+        # pieces by length and by the cell in which they end
+        weight, reached = np.full((self.longest, len(word)), -np.inf), np.zeros((self.longest, len(word)), np.int32)
+        cell, node = np.arange(len(word)), self.first[letters[:-1]]
+        for k in range(self.longest):
+            if k:
+                cell = after[cell]
+                wanted = node * self.size + letters[cell]
+                at = np.searchsorted(self.step, wanted)
+                on = np.flatnonzero(self.step[at] == wanted)
+                cell, node = cell[on], self.to[at[on]]
+            weight[k, cell], reached[k, cell] = self.weight[node], node
+        score, second = np.zeros((len(running) + 1, n)), np.empty((len(running) + 1, n))
+        back = np.zeros((len(running) + 1, n), np.int64)
+        for end, (most, first) in enumerate(zip(running.tolist(), begin.tolist(), strict=True), 1):
+            few = min(end, self.longest)
+            ways = score[end - few : end, :most] + weight[few - 1 :: -1, first : first + most]  # the longest piece first
+            top, every = ways.argmax(axis=0), np.arange(most)
+            score[end, :most], back[end, :most] = ways[top, every], few - top
+            ways[top, every] = -np.inf
+            second[end, :most] = ways.max(axis=0)
+        # the way back
+        word, at, loss = np.arange(n), sizes.copy(), np.full(n, np.inf)
+        owners, ids = [], []
+        while len(word):
+            loss[word] = np.minimum(loss[word], score[at, word] - second[at, word])
+            k = back[at, word]
+            owners.append(word)
+            ids.append(self.piece[reached[k - 1, begin[at - 1] + word]])
+            at = at - k
+            word, at = word[at > 0], at[at > 0]
+        owner = np.concatenate(owners[::-1])
+        in_order = np.concatenate(ids[::-1])[np.argsort(owner, kind="stable")]
+        return score[sizes, np.arange(n)].tolist(), in_order, np.cumsum(np.bincount(owner, minlength=n)).tolist(), loss.tolist()
+
+
 class PieceModel:
     """Pieces of a SentencePiece model with their scores; a lattice search and a decoder over them."""
 
@@ -66,10 +145,7 @@ class PieceModel:
             else model.id_to_piece(i).replace(MARK, " ").encode()
             for i in ids
         ]
-        self.edges = ahocorasick.Automaton()
-        for p, (weight, i) in self.pieces.items():
-            self.edges.add_word(p, (len(p), weight, i.to_bytes(4, "little"), self.texts[i]))
-        self.edges.make_automaton()
+        self.trie = PieceTrie(self.pieces)
         inner = any(MARK in p.lstrip(MARK) for p in self.pieces)
         used = set("".join(self.pieces))
         self.alone = [chr(c) for c in range(32) if chr(c) not in used]
@@ -97,36 +173,8 @@ class PieceModel:
                     break
         return best, ending
 
-    def _best_of_pieces(self, word: str) -> tuple[float, bytes, float, bytes]:
-        """``best`` and the bytes its ids stand for, of a word whose every character is a piece.
-
-        The edges of the lattice come from one pass over the word, those that end at one place
-        together, the longest first; the way back runs over the edges themselves.
-        """
-        n = len(word)
-        score, second, back = [0.0] + [NONE] * n, [NONE] * (n + 1), [None] * (n + 1)
-        for last, edge in self.edges.iter(word):
-            end = last + 1
-            new = score[end - edge[0]] + edge[1]
-            if new > score[end]:
-                second[end], score[end], back[end] = score[end], new, edge
-            elif new > second[end]:
-                second[end] = new
-        at, path, loss = n, [], -NONE
-        while at:
-            less = score[at] - second[at]
-            if less < loss:
-                loss = less
-            edge = back[at]
-            path.append(edge)
-            at -= edge[0]
-        path.reverse()
-        return score[n], b"".join([edge[2] for edge in path]), loss, b"".join([edge[3] for edge in path])
-
     def best(self, word: str) -> tuple[float, bytes, float]:
         """Score and ids of the best path, and by how much the second falls short (infinite without one)."""
-        if self.letters.issuperset(word):
-            return self._best_of_pieces(word)[:3]
         n, entry = len(word), self.entries.get
         score, second = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1)
         back: list[tuple[int, bytes]] = [(0, b"")] * (n + 1)
@@ -196,39 +244,58 @@ class PieceModel:
                 cut = cut.replace(char, f"\0{char}\0")
         return [w for w in cut.split("\0") if w]
 
-    def _learned(self, words: list[str], found: list) -> list[tuple[float, bytes, float, bytes]]:
-        """``found`` with its gaps filled; new words are remembered while there is room."""
+    def _learned(self, words: list[str]) -> dict[str, tuple[float, bytes, float, bytes]]:
+        """Entries of new words, which are remembered while there is room."""
         new: dict[str, tuple[float, bytes, float, bytes]] = {}
-        is_of_letters = self.letters.issuperset
-        for i, known in enumerate(found):
-            if known is None:
-                word = words[i]
+        every = self.letters.issuperset("".join(words))
+        of_letters = [w for w in words if len(w) <= LONGEST and (every or self.letters.issuperset(w))]
+        of_letters.sort(key=len, reverse=True)
+        start = 0
+        while start < len(of_letters):
+            part = of_letters[start : start + max(1, IN_ARRAYS // len(of_letters[start]))]
+            start += len(part)
+            scores, pieces, ends, losses = self.trie.best(part)
+            ids, texts, at = pieces.astype("<i4").tobytes(), list(map(self.texts.__getitem__, pieces.tolist())), 0
+            for word, score, end, loss in zip(part, scores, ends, losses, strict=True):
+                new[word] = (score, ids[4 * at : 4 * end], loss, b"".join(texts[at:end]))
+                at = end
+            self.known_bytes += 300 * len(part) + 2 * sum(map(len, part)) + len(ids) + sum(map(len, texts))
+        self.known.update(new)
+        if len(new) < len(words):
+            for word in words:
                 if word not in new:
-                    if is_of_letters(word):
-                        new[word] = self._best_of_pieces(word)
-                    else:
-                        score, ids, loss = self.best(word)
-                        new[word] = (score, ids, loss, self._spelled(ids))
-                found[i] = new[word]
-        for word, entry in new.items():
-            if len(word) <= LONGEST:
-                self.known_bytes += 300 + 2 * len(word) + len(entry[1]) + len(entry[3])
-                self.known[word] = entry
+                    score, ids, loss = self.best(word)
+                    new[word] = entry = (score, ids, loss, self._spelled(ids))
+                    if len(word) <= LONGEST:
+                        self.known_bytes += 300 + 2 * len(word) + len(ids) + len(entry[3])
+                        self.known[word] = entry
         if self.known_bytes > WORD_BYTES:  # the words learned first are the commonest
             self.known = dict(islice(self.known.items(), len(self.known) // 2))
             self.known_bytes //= 2
-        return found
+        return new
 
     def n_best(self, text: str, n: int) -> list[tuple[float, bytes, bytes]]:
-        """The ``n`` best segmentations of a text, best first: score, ids (little-endian, 32 bits), decoded bytes.
+        """The ``n`` best segmentations of a text, best first: score, ids (little-endian, 32 bits), decoded bytes."""
+        return next(self.n_best_of_each([text], n))
+
+    def n_best_of_each(self, texts: list[str], n: int) -> Iterator[list[tuple[float, bytes, bytes]]]:
+        """``n_best`` of some texts, whose new words are searched together."""
+        cut = [self.words(text) for text in texts]
+        found = [list(map(self.known.get, words)) for words in cut]
+        gaps = [(words, entries) for words, entries in zip(cut, found, strict=True) if None in entries]
+        new = self._learned(list(dict.fromkeys(w for words, entries in gaps for w, e in zip(words, entries, strict=True) if e is None)))
+        for words, entries in gaps:
+            entries[:] = [e or new[w] for w, e in zip(words, entries, strict=True)]
+        del new
+        for words, entries in zip(cut, found, strict=True):
+            yield self._ranked(words, entries, n)
+
+    def _ranked(self, words: list[str], found: list[tuple[float, bytes, float, bytes]], n: int) -> list[tuple[float, bytes, bytes]]:
+        """The ``n`` best paths of a text from the entries of its words.
 
         Of equal scores, those that leave the best path in earlier words come first. A further path is
         the best one with a few words replaced, in its ids and in its bytes alike.
         """
-        words = self.words(text)
-        found = list(map(self.known.get, words))
-        if None in found:
-            found = self._learned(words, found)
         if not found:
             return [(0.0, b"", b"")]
         scores, ids, losses, spelled = zip(*found, strict=True)
@@ -315,7 +382,24 @@ def _path_lists(paths: list[list[tuple[float, bytes, bytes]]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.StructArray.from_arrays(parts, ["score", "ids", "decoded"]))
 
 
+@contextmanager
+def _without_collector() -> Iterator[None]:
+    """Entries of words hold no cycles; the collector of cycles would only walk them, again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def _segment(path: str, n: int, with_paths: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    with _without_collector():
+        yield from _segmented(path, n, with_paths, batches)
+
+
+def _segmented(path: str, n: int, with_paths: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     model = piece_model(path)
 
     def passed_on(batch: pa.RecordBatch, start: int, rows: list[tuple], paths: list) -> pa.RecordBatch:
@@ -331,28 +415,40 @@ def _segment(path: str, n: int, with_paths: bool, batches: Iterator[pa.RecordBat
 
     for batch in batches:
         start, held, rows, paths = 0, 0, [], []
-        for value in batch.column("text"):
-            text = value.as_py() or ""
-            data = text.encode()
-            found = model.n_best(text, n)
-            score, ids, _ = found[0]
-            margin = score - found[1][0] if len(found) > 1 else None
-            whole = [decoded == data for _, _, decoded in found]
-            rows.append((len(ids) // 4, score, len(found), margin, zlib.crc32(ids), all(whole)))
-            if with_paths:
-                # what does not spell the text may be no valid UTF-8
-                paths.append([
-                    (s, i, d if same else d.decode("utf-8", "replace").encode())
-                    for (s, i, d), same in zip(found, whole, strict=True)
-                ])
-                held += sum(len(i) + len(d) for _, i, d in found)
-            if held > PASSED_ON:
-                yield passed_on(batch, start, rows, paths)
-                start, held, rows, paths = start + len(rows), 0, [], []
+        for texts in _together(batch.column("text")):
+            for text, found in zip(texts, model.n_best_of_each(texts, n), strict=True):
+                data = text.encode()
+                score, ids, _ = found[0]
+                margin = score - found[1][0] if len(found) > 1 else None
+                whole = [decoded == data for _, _, decoded in found]
+                rows.append((len(ids) // 4, score, len(found), margin, zlib.crc32(ids), all(whole)))
+                if with_paths:
+                    # what does not spell the text may be no valid UTF-8
+                    paths.append([
+                        (s, i, d if same else d.decode("utf-8", "replace").encode())
+                        for (s, i, d), same in zip(found, whole, strict=True)
+                    ])
+                    held += sum(len(i) + len(d) for _, i, d in found)
+                if held > PASSED_ON:
+                    yield passed_on(batch, start, rows, paths)
+                    start, held, rows, paths = start + len(rows), 0, [], []
         if rows:
             yield passed_on(batch, start, rows, paths)
 
 
+def _together(column: pa.Array) -> Iterator[list[str]]:
+    """Texts (nulls: empty) some at a time: of TOGETHER characters, or a longer one at the end."""
+    texts, held = [], 0
+    for value in column:
+        texts.append(value.as_py() or "")
+        held += len(texts[-1])
+        if held >= TOGETHER:
+            yield texts
+            texts, held = [], 0
+    if texts:
+        yield texts
+
+
 def segment(
     docs: DataFrame, model_path: str, n_best: int = 4, with_paths: bool = True, text_col: str = "text",
 ) -> DataFrame:

@@ -92,3 +92,18 @@ def test_rows_are_passed_on_in_parts(monkeypatch):
     parts = run()
     assert len(whole) == 1 and len(parts) > 2
     assert pa.Table.from_batches(parts).to_pylist() == pa.Table.from_batches(whole).to_pylist()
+
+
+def test_new_words_of_many_texts_are_searched_together(model, monkeypatch):
+    texts = [f"{w} the cat{i} {w}ing oune{w} \u00e9a{w * 3} \u65e5 {'x' * 250}" for i, w in enumerate(["dog", "re", "tion", "zq", ""] * 8)]
+    fresh, calls, best = n.PieceModel(tokenizer_file(PIECES)), [], n.PieceTrie.best
+    monkeypatch.setattr(n.PieceTrie, "best", lambda trie, words: calls.append(len(words)) or best(trie, words))
+    together = list(fresh.n_best_of_each(texts, 4))
+    assert len(calls) == 1 and calls[0] > 50
+    assert together == [model.n_best(text, 4) for text in texts]
+    for word in sorted({w for text in texts for w in model.words(text)}):
+        (score, ids), *others = model.search(word, 2)
+        found = fresh.known[word] if word in fresh.known else fresh.best(word)
+        assert found[0] == pytest.approx(score)
+        assert found[2] == (pytest.approx(score - others[0][0], abs=1e-9) if others else np.inf)
+        assert sum(found[0] == pytest.approx(s) and found[1] == i for s, i in model.search(word, 6)) == 1

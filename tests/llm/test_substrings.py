@@ -102,6 +102,23 @@ def test_pieces_of_long_texts(monkeypatch, spark, rows):
     assert pa is not None
 
 
+def test_a_name_leaves_a_piece_once():
+    # some of these periods hold a trigger, so that an anchor of one name stands in each of them
+    anchored = 0
+    for i in range(40):
+        piece = np.frombuffer(f"{prose(i, 30)} {f'is on{i}he. ' * 400}{prose(i + 70, 30)}".encode(), np.uint8)
+        k, t, at = substring_dedup.anchors(piece, 400)
+        low, count = substring_dedup.unpack(at)
+        assert len(set(zip(k.tolist(), t.tolist(), strict=True))) == len(k)
+        assert sorted(p for x, n in zip(low.tolist(), count.tolist(), strict=True) for p in range(x, x + n)) == list(range(len(piece) - 399))
+        seen = Counter(piece[p : p + 400].tobytes() for p in range(len(piece) - 399))
+        for x, n, twice in zip(low.tolist(), count.tolist(), (at & 1).tolist(), strict=True):
+            assert not twice or all(seen[piece[p : p + 400].tobytes()] > 1 for p in range(x, x + n))
+        trigger = substring_dedup.mixed(substring_dedup._hashes(400)[0].windows(substring_dedup._prefixes(piece, 400)[0], 12))
+        anchored += (trigger < np.uint64((1 << 64) // substring_dedup.SPACING)).sum() > 300
+    assert anchored > 0
+
+
 def test_runs():
     start, end = runs(np.array([5, 0, 2, 9]), np.array([7, 2, 3, 12]))
     assert (start.tolist(), end.tolist()) == ([0, 5, 9], [3, 7, 12])

@@ -10,7 +10,7 @@ known; there, at the factor boundaries, each single window is looked up among th
 reference blocks with that minimizer. So factors are checked against every indexed block, no match
 is lost at a boundary, and only factors of a window or longer count.
 
-Each block is one row, a quarter of the windows; copies are never paired.
+Each block is one row, a quarter of the windows; equal blocks in a row are one. Copies are never paired.
 """
 
 from __future__ import annotations
@@ -70,7 +70,11 @@ def _prefixes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``k, t, low, count``: hash of the minimizer, name of the block, its first window and how many it has."""
+    """``k, t, low, count``: hash of the minimizer, name of the block, its first window and how many it has.
+
+    Equal blocks in a row share their fate, so they are one run of windows: text whose period is at most the
+    window - RUN + 1 runs of a window has one such block per period, text of longer periods several that differ.
+    """
     one, two = _hashes()
     a, b = _prefixes(words)
     grams = mixed(one.windows(a, RUN))
@@ -85,7 +89,16 @@ def blocks(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.
     count = np.diff(np.concatenate((low, [n])))
     k = best[low]
     t = two.spans(b, low, low + count - 1 + window) + mixed(((at[low] - low) * PIECE + count).astype(np.uint64))
-    return k, t, low, count
+    same = (k[1:] == k[:-1]) & (t[1:] == t[:-1]) & (count[1:] == count[:-1])
+    if not same.any():
+        return k, t, low, count
+    first = np.concatenate(([0], np.flatnonzero(~same) + 1))
+    size = np.diff(np.concatenate((first, [len(k)])))
+    most = ((1 << SPAN_BITS) - 1) // count[first]
+    parts = -(-size // most)
+    of, before = np.repeat(first, parts), ranges(np.zeros(len(parts), np.int64), parts) * np.repeat(most, parts)
+    here = np.minimum(np.repeat(most, parts), np.repeat(size, parts) - before)
+    return k[of], t[of], low[of] + before * count[of], here * count[of]
 
 
 def _block_rows(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -119,6 +119,18 @@ def test_a_name_leaves_a_piece_once():
     assert anchored > 0
 
 
+def test_equal_blocks_in_a_row_are_one(spark):
+    relative_lz._hashes.cache_clear()  # another test's are for short pieces
+    for period in (1, 2, 3, 7, 9):
+        words = prose(8, 20).encode().split() + [b"w%d" % (i % period) for i in range(9000)] + prose(9, 20).encode().split()
+        k, t, low, count = relative_lz.blocks(words, 13)
+        assert len(low) < 60 and count.max() < 1 << relative_lz.SPAN_BITS
+        assert sorted(p for x, n in zip(low.tolist(), count.tolist(), strict=True) for p in range(x, x + n)) == list(range(len(words) - 12))
+    turns = [(i, f"{prose(i, 20)} {'is onhe. ' * (30 * i)}{'a b c ' * (i % 3 * 2000)}{prose(i % 2, 30)}") for i in range(9)]
+    got = relative_lz.remove_earlier(spark.createDataFrame(turns, "doc_id long, text string"), with_text=False).collect()
+    assert ordered((r["doc"], r["n_words"], r["n_removed"], r["n_factors"], r["kept_sha256"]) for r in got) == ordered(slow_words(turns, 13))
+
+
 def test_runs():
     start, end = runs(np.array([5, 0, 2, 9]), np.array([7, 2, 3, 12]))
     assert (start.tolist(), end.tolist()) == ([0, 5, 9], [3, 7, 12])
